@@ -12,6 +12,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import edited_fingerprints
+
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
+def op2_virtual_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard
+
+    placed, _ = shard(documents(spark, sf_dir), n_shards=16)
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
 
@@ -20,6 +33,8 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_document_fingerprints": op1_document_fingerprints,
+        "op2_virtual_slot_sharding": op2_virtual_slot_sharding,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
     }
 
