@@ -25,6 +25,12 @@ def op2_virtual_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 
+def op3_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .flac import media_features
+
+    return media_features(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
 
@@ -35,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_document_fingerprints": op1_document_fingerprints,
         "op2_virtual_slot_sharding": op2_virtual_slot_sharding,
+        "op3_flac_media": op3_flac_media,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
     }
 
