@@ -31,6 +31,24 @@ def op3_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_features(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .byte_bpe import round_trips
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return round_trips(documents(spark, sf_dir), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_counts import token_counts
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(documents(spark, sf_dir), path, public_tokenizers.PATTERN, limit=1024).withColumnRenamed("id", "doc_id")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
 
@@ -42,6 +60,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_document_fingerprints": op1_document_fingerprints,
         "op2_virtual_slot_sharding": op2_virtual_slot_sharding,
         "op3_flac_media": op3_flac_media,
+        "op4_byte_bpe": op4_byte_bpe,
+        "op5_token_counts": op5_token_counts,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
     }
 
