@@ -55,6 +55,13 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity(documents(spark, sf_dir), labels).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_document_fingerprints": op1_document_fingerprints,
@@ -63,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_bpe": op4_byte_bpe,
         "op5_token_counts": op5_token_counts,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
+        "op8_toxicity": op8_toxicity,
     }
 
 
