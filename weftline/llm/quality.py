@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import linear
 from . import textkernel as K
@@ -165,14 +166,16 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     model = learn(docs, labels, id_col, text_col, sample, pool)
     scores = ["content_score", "metadata_score", "quality_score"]
     plain = docs.drop(*scores, "quality_kept")
+    names = plain.columns
     view = plain.withColumns({f"_{c}": (F.col(c) if c in plain.columns else F.lit(None)).cast(k) for c, k in (("lang", "string"), ("source", "string"), ("n_chars", "long"))}).withColumn("_text", F.col(text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in K.slices(batches, "_text"):
             text = b.column("_text")
             got = model(content_view(text), metadata_view(text, *(b.column(f"_{c}").to_pylist() for c in ("lang", "source", "n_chars"))))
-            own = b.select(plain.columns)
+            own = b.select(names)
             yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(g, pa.float64()) for g in got)], names=[*own.schema.names, *scores])
 
-    out = view.mapInArrow(run, plain.schema.add(scores[0], "double").add(scores[1], "double").add(scores[2], "double"))
+    schema = T.StructType([*plain.schema.fields, *(T.StructField(c, T.DoubleType()) for c in scores)])
+    out = view.mapInArrow(run, schema)
     return out.withColumn("quality_kept", F.col("quality_score") >= keep_from)

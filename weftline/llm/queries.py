@@ -62,6 +62,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), labels).withColumnRenamed("id", "doc_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality(documents(spark, sf_dir), labels).select("doc_id", "content_score", "metadata_score", "quality_score", "quality_kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_document_fingerprints": op1_document_fingerprints,
@@ -71,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_counts": op5_token_counts,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op8_toxicity": op8_toxicity,
+        "op9_quality_classifier": op9_quality_classifier,
     }
 
 
