@@ -174,7 +174,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             text = b.column("_text")
             got = model(content_view(text), metadata_view(text, *(b.column(f"_{c}").to_pylist() for c in ("lang", "source", "n_chars"))))
             own = b.select(names)
-            yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(g, pa.float64()) for g in got)], names=[*own.schema.names, *scores])
+            yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(np.round(g, 9), pa.float64()) for g in got)], names=[*own.schema.names, *scores])
 
     schema = T.StructType([*plain.schema.fields, *(T.StructField(c, T.DoubleType()) for c in scores)])
     out = view.mapInArrow(run, schema)
