@@ -55,6 +55,12 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(documents(spark, sf_dir), repeats=2.0).select("doc_id", "source", "mix_epoch", "mix_weight", "mix_block", "mix_position")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity
 
@@ -77,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_bpe": op4_byte_bpe,
         "op5_token_counts": op5_token_counts,
         "op6_minhash_near_dedup": op6_minhash_near_dedup,
+        "op7_temperature_mixing": op7_temperature_mixing,
         "op8_toxicity": op8_toxicity,
         "op9_quality_classifier": op9_quality_classifier,
     }
