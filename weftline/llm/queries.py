@@ -75,6 +75,13 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir), labels).select("doc_id", "content_score", "metadata_score", "quality_score", "quality_kept")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import repeated_passages
+
+    found = repeated_passages(documents(spark, sf_dir))
+    return found.withColumnsRenamed({"id": "doc_id", "start": "start_byte", "size": "n_bytes", "words": "n_words", "kept_id": "kept_doc_id"})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_document_fingerprints": op1_document_fingerprints,
@@ -86,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_temperature_mixing": op7_temperature_mixing,
         "op8_toxicity": op8_toxicity,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
