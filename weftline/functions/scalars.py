@@ -165,10 +165,10 @@ def classified(c: str | Column, rules: list[tuple[str, list[str]]], default: str
 
 
 def human_count(c: str | Column) -> Column:
-    """Counts for readers: 62.7M, 3K, 17."""
+    """Counts for readers: 62.7M, 3K, 17. Halves go to the even digit."""
     c = col(c)
-    millions = F.concat(F.format_string("%.1f", c / 1e6), F.lit("M"))
-    return F.when(c >= 1e6, millions).when(c >= 1e3, F.concat(F.format_string("%.0f", c / 1e3), F.lit("K"))).otherwise(c.cast("string"))
+    millions = F.concat(F.format_string("%.1f", F.bround(c / 1e6, 1)), F.lit("M"))
+    return F.when(c >= 1e6, millions).when(c >= 1e3, F.concat(F.format_string("%.0f", F.bround(c / 1e3, 0)), F.lit("K"))).otherwise(c.cast("string"))
 
 
 def scaled(c: str | Column, kind: str) -> Column:
