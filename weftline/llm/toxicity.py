@@ -60,7 +60,12 @@ class Automaton:
 
 def allowed(length: int) -> int:
     """Edits that a term of this length may have."""
-    return 0 if length < 5 else 1 if length < 9 else 2
+    return 0 if length < 5 else 1
+
+
+def variants(word: str) -> list[str]:
+    """The word, and the word without each one of its letters."""
+    return [word, *[word[:i] + word[i + 1 :] for i in range(len(word))]]
 
 
 class Lexicon(dict):
@@ -76,27 +81,12 @@ class Lexicon(dict):
             for letter in t:
                 node = node.setdefault(letter, {})
             node[""] = i
-        # k edits leave one of k + 1 parts of a term whole, at most k letters from its place.
-        self.heads, self.tails = set(), set()
-        self.middles: set[str] = set()
-        for t in self.terms:
-            k = allowed(len(t))
-            cut = [len(t) * j // (k + 1) for j in range(k + 2)]
-            self.heads.add(t[: cut[1]])
-            self.tails.add(t[cut[k] :])
-            if k == 2:
-                self.middles.add(t[cut[1] : cut[2]])
-        self.head_sizes, self.tail_sizes = sorted({len(h) for h in self.heads}), sorted({len(t) for t in self.tails})
-        self.middle = re.compile("|".join(map(re.escape, sorted(self.middles)))) if self.middles else None
-        self.sizes = {n for t in self.terms for n in range(len(t) - allowed(len(t)), len(t) + allowed(len(t)) + 1)}
+        # Two strings are within one edit only if they, or they with a letter left out, have a string in common.
+        self.reach = {v for t in self.terms for v in ([t] if allowed(len(t)) == 0 else variants(t))}
 
     def near(self, word: str) -> bool:
-        """Whether the word has a whole part of some term in about its place; all words with a term in reach do."""
-        if len(word) not in self.sizes:
-            return False
-        if any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes):
-            return True
-        return len(word) >= 7 and self.middle is not None and self.middle.search(word) is not None
+        """Whether some term may be in reach; all words with one are."""
+        return any(v in self.reach for v in variants(word))
 
     def __missing__(self, word: str) -> tuple[int, int] | None:
         found = self.search(word) if self.near(word) else None
@@ -107,7 +97,7 @@ class Lexicon(dict):
 
     def search(self, word: str) -> tuple[int, int] | None:
         """The term with the fewest edits, then the largest weight, then the first."""
-        a = Automaton(word, 2)
+        a = Automaton(word, 1)
         best, stack = None, [(self.trie, a.start())]
         while stack:
             node, state = stack.pop()
