@@ -157,7 +157,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, terms: int = 2_000, evidence: float = 24.0) -> tuple[dict[str, float], linear.Logistic]:
     """The lexicon with its weights, and the model over hits.
 
-    A term needs ``evidence`` of the likelihood-ratio test for being commoner in toxic documents.
+    A term needs ``evidence`` of the likelihood-ratio test for being commoner in toxic documents. There it counts once
+    for each word that it follows, since copies of a document, near ones too, are no evidence on their own.
     """
     rows = staging.put(_sample(docs, labels, id_col, text_col, sample), "labelled")
     size = rows.agg(F.sum("label").alias("bad"), F.count("*").alias("n")).first()
@@ -165,12 +166,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in K.slices(batches, "text"):
+            word, before, labels = [], [], []
             for text, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
-                w = list(set(WORD.findall(text.lower())))
-                yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array([int(label)] * len(w), pa.int32())], names=["word", "label"])
-
-    counts = rows.mapInArrow(own_words, "word string, label int").groupBy("word").agg(F.sum("label").alias("t"), F.count("*").alias("n")).where("t >= 3")
-    t, c = F.col("t"), F.col("n") - F.col("t")
+                w = WORD.findall(text.lower())
+                first = dict(zip(reversed(w), reversed(["", *w[:-1]])))
+                word += first
+                before += first.values() if label else [""] * len(first)
+                labels += [int(label)] * len(first)
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(before, pa.string()), pa.array(labels, pa.int32())], names=["word", "before", "label"])
+
+    seen = rows.mapInArrow(own_words, "word string, before string, label int").groupBy("word", "before").agg(F.sum(1 - F.col("label")).alias("c"), F.max("label").alias("t"))
+    counts = seen.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where("t >= 3").withColumn("n", F.col("t") + F.col("c"))
+    t, c = F.col("t"), F.col("c")
     rate = F.col("n") / F.lit(max(1, bad + clean))
     part = lambda k, total: F.when(k > 0, k * F.log(k / (rate * max(1, total)))).otherwise(0.0)
     against = lambda k, total: F.when(F.lit(total) - k > 0, (F.lit(total) - k) * F.log((F.lit(total) - k) / F.greatest((1 - rate) * max(1, total), F.lit(1e-9)))).otherwise(0.0)
