@@ -71,7 +71,7 @@ def test_paragraphs_do_not_depend_on_neighbours():
     for i, t in enumerate(texts):
         one = S.Paragraphs(pa.array([t]), 2)
         mine = both.row == i
-        assert np.array_equal(one.kind, both.kind[mine]) and np.array_equal(one.start, both.start[mine]) and np.array_equal(one.keys[1], both.keys[1][mine])
+        assert one.sets() == [s for s, m in zip(both.sets(), mine) if m] and np.array_equal(one.start, both.start[mine]) and np.array_equal(one.keys[1], both.keys[1][mine])
         assert one.words.sum() == len(t.split())
 
 

@@ -38,7 +38,7 @@ def bands_for(recall: float, similarity: float) -> int:
 
 
 class Paragraphs:
-    """The paragraphs of a column of texts, as arrays: row, index in the row, byte span, words, class, band values."""
+    """The paragraphs of a column of texts, as arrays: row, index in the row, byte span, words, shingles, band values."""
 
     def __init__(self, column: pa.Array, bands: int):
         raw, self.offsets = K.utf8(column)
@@ -68,13 +68,21 @@ class Paragraphs:
         self.at = np.searchsorted(owner, np.arange(len(first) + 1))
         salts = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, bands, dtype=np.uint64)
         if len(first):
-            self.kind = np.add.reduceat(K.mix(self.items), self.at[:-1]).view(np.int64)
             self.keys = [np.minimum.reduceat(K.mix(self.items ^ x), self.at[:-1]).view(np.int64) for x in salts]
         else:
-            self.kind, self.keys = np.zeros(0, np.int64), [np.zeros(0, np.int64)] * bands
+            self.keys = [np.zeros(0, np.int64)] * bands
 
     def sets(self) -> list[bytes]:
-        return [np.unique(self.items[a:b]).tobytes() for a, b in zip(self.at[:-1], self.at[1:])]
+        """The distinct shingles of each paragraph, as sorted 32-bit values."""
+        low = (self.items >> np.uint64(32)).astype(np.uint32)
+        owner = np.repeat(np.arange(len(self.row)), np.diff(self.at))
+        order = np.lexsort((low, owner))
+        low, owner = low[order], owner[order]
+        new = np.ones(len(low), bool)
+        new[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
+        low, at = low[new], np.searchsorted(owner[new], np.arange(len(self.row) + 1))
+        data = low.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 def _shared_keys(rows: DataFrame, bands: int) -> DataFrame:
@@ -83,10 +91,8 @@ def _shared_keys(rows: DataFrame, bands: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in K.slices(batches, "text"):
             p = Paragraphs(b.column("text"), bands)
-            # A value is sent once per text and band.
-            key, row = np.concatenate(p.keys), np.tile(p.row, bands)
-            once = np.unique(np.stack([key, row]), axis=1) if len(key) else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(once[0]), b.column("id").take(pa.array(once[1]))], names=["key", "id"])
+            for key in p.keys:
+                yield pa.RecordBatch.from_arrays([pa.array(key), b.column("id").take(pa.array(p.row))], names=["key", "id"])
 
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(run, f"key long, id {kind}").groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"))
@@ -94,18 +100,21 @@ def _shared_keys(rows: DataFrame, bands: int) -> DataFrame:
 
 
 def _occurrences(rows: DataFrame, keys: DataFrame, bands: int) -> DataFrame:
-    """(key, id, index, start, size, words, kind, items) of the paragraphs under the given band values."""
+    """(key, id, index, start, size, words, items, kind) of the paragraphs under the given band values.
+
+    Of every paragraph only this much is shuffled; items are 32 bits each, and a class is a digest of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in K.slices(batches, "text", 1 << 18):
             p = Paragraphs(b.column("text"), bands)
             sets = pa.array(p.sets(), pa.binary())
-            own = [b.column("id").take(pa.array(p.row)), pa.array(p.index, pa.int32()), pa.array(p.start, pa.int32()), pa.array(p.end - p.start, pa.int32()), pa.array(p.words, pa.int32()), pa.array(p.kind), sets]
+            own = [b.column("id").take(pa.array(p.row)), pa.array(p.index, pa.int32()), pa.array(p.start, pa.int32()), pa.array(p.end - p.start, pa.int32()), pa.array(p.words, pa.int32()), sets]
             for key in p.keys:
-                yield pa.RecordBatch.from_arrays([pa.array(key), *own], names=["key", "id", "index", "start", "size", "words", "kind", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *own], names=["key", "id", "index", "start", "size", "words", "items"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key long, id {kind}, index int, start int, size int, words int, kind long, items binary").join(keys, "key", "left_semi")
+    return rows.mapInArrow(run, f"key long, id {kind}, index int, start int, size int, words int, items binary").join(keys, "key", "left_semi").withColumn("kind", F.xxhash64("items"))
 
 
 def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -115,7 +124,7 @@ def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
         for b in batches:
             good = []
             for x, y in zip(b.column("xa"), b.column("xb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
