@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Strings that stand for nothing, compared without case.
 NONE_STRINGS = ["none", "null", "-", "na", "n/a"]
@@ -18,7 +19,7 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in batches:
         text = s.where(s.notna(), None)

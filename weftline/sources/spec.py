@@ -141,7 +141,7 @@ def excluded(primaries: Column, spec: SourceSpec) -> Column:
         return F.lit(False)
     left = F.array_except(F.coalesce(primaries, F.array().cast(S.LIST)), F.array(*map(F.lit, spec.excluded_primaries)))
     out = F.size(left) == 0
-    return out if spec.missing_is_excluded else out & (F.size(primaries) > 0)
+    return out if spec.missing_is_excluded else out & (F.coalesce(F.size(primaries), F.lit(0)) > 0)
 
 
 def edges(spec: SourceSpec, df: DataFrame) -> DataFrame:
