@@ -42,6 +42,21 @@ def drop(df: DataFrame) -> None:
     """Delete a table that put() wrote and that nothing reads any more."""
     if path := getattr(df, "_staged", None):
         _delete(df.sparkSession, path)
+        _made.remove((df.sparkSession, path))
+
+
+def mark() -> int:
+    """A point in the order of staged tables, for drop_since."""
+    return len(_made)
+
+
+def drop_since(point: int, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Delete the tables staged since a mark, but for those that are still read."""
+    kept = {df._staged for df in keep}
+    gone = [(spark, path) for spark, path in _made[point:] if path not in kept]
+    for spark, path in gone:
+        _delete(spark, path)
+        _made.remove((spark, path))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
