@@ -129,6 +129,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     judged by their own texts and may differ. A null id keeps its row; it never names a component that has another
     id. An empty table gives an empty result; other columns are ignored.
     """
+    start = staging.mark()
     sigs = staging.put(signatures(docs, id_col, text_col, shingle, coords), "signatures")
     classes = staging.put(sigs.where("class is not null").groupBy("class", "sig").agg(F.min("id").alias("id")), "classes")
     lists = staging.put(postings(classes, coords, match), "postings")
@@ -141,6 +142,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comp = _components(links)
     links = links.unionByName(_links(_rest(lists, comp, at_least), classes, sets, at_least, match))
     comp = _components(links)
+    staging.drop_since(start, keep=(sigs, classes, comp))
     return _verdicts(sigs, classes, comp)
 
 

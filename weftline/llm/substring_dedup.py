@@ -142,6 +142,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     bands = bands_for(recall, similarity)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null")
+    start = staging.mark()
     keys = staging.put(_shared_keys(rows, bands), "keys")
     found = staging.put(_occurrences(rows, keys, bands), "paragraphs")
     classes = found.select("key", "kind", "items").groupBy("key", "kind").agg(F.first("items").alias("items"))
@@ -154,6 +155,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     places = found.select("id", "index", "start", "size", "words", "kind").distinct()
     named = places.join(comp.select(F.col("node").alias("kind"), "component"), "kind", "left").withColumn("cluster", F.coalesce("component", "kind")).drop("component", "kind")
     named = staging.put(named, "occurrences")
+    staging.drop_since(start, keep=(named,))
     kept = named.groupBy("cluster").agg(F.min(F.struct("id", "index")).alias("k"), F.max("id").alias("most")).where("k.id < most").select("cluster", F.col("k.id").alias("kept_id"))
     again = named.join(kept, "cluster").where(F.col("id") != F.col("kept_id"))
     return _runs(again, min_words)
