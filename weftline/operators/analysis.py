@@ -59,10 +59,10 @@ def held_by(long: DataFrame, key: list[str], graph: str = "graph") -> DataFrame:
     return long.groupBy(*key).agg(F.array_sort(F.collect_set(graph)).alias("graphs"))
 
 
-def margins(df: DataFrame, row: str, column: str, value: str, least: int) -> DataFrame:
-    """Cells whose row and column both total at least so much."""
+def margins(df: DataFrame, row: str, column: str, value: str, least: int, least_column: int | None = None) -> DataFrame:
+    """Cells whose row and column both total at least so much; totals are of all cells."""
     total = lambda c: F.sum(value).over(Window.partitionBy(c))
-    return df.withColumn("_r", total(row)).withColumn("_c", total(column)).where((F.col("_r") >= least) & (F.col("_c") >= least)).drop("_r", "_c")
+    return df.withColumn("_r", total(row)).withColumn("_c", total(column)).where((F.col("_r") >= least) & (F.col("_c") >= (least if least_column is None else least_column))).drop("_r", "_c")
 
 
 def sample_keys(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:

@@ -26,8 +26,11 @@ def list_union(c: str) -> Column:
     return X.absent_if_empty(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.col(c))))))
 
 
-def merge_edges(edges: DataFrame) -> DataFrame:
-    """Edges with source_rank and ordinal, merged by key, with edge_key and the number of merged rows."""
+def merge_edges(edges: DataFrame, with_attributes: bool = True) -> DataFrame:
+    """Edges with source_rank and ordinal, merged by key, with edge_key and the number of merged rows.
+
+    Attributes take an aggregation and a join of their own; without them there is one shuffle.
+    """
     order = F.struct("source_rank", "ordinal")
     # A map can't be grouped by; its sorted entries can.
     keyed = edges.withColumn("_q", F.array_sort(F.map_entries(F.coalesce("qualifiers", F.create_map().cast(S.MAP)))))
@@ -36,6 +39,8 @@ def merge_edges(edges: DataFrame) -> DataFrame:
         list_union("aggregator_knowledge_source").alias("aggregator_knowledge_source"), list_union("supporting_data_sources").alias("supporting_data_sources"), first_provided("knowledge_level", order).alias("knowledge_level"),
         first_provided("agent_type", order).alias("agent_type"), list_union("publications").alias("publications"), F.min_by("publications_info", F.when(F.col("publications_info").isNotNull(), order)).alias("publications_info"), F.count("*").alias("merged_rows"),
     )
+    if not with_attributes:
+        return main.withColumn("qualifiers", F.when(F.size("_q") > 0, F.map_from_entries("_q"))).drop("_q").withColumn("edge_key", X.edge_key())
     attributes = merge_attributes(keyed, key)
     joined = main.alias("m").join(attributes.alias("a"), F.struct(*[F.col(f"m.{k}") for k in key]).eqNullSafe(F.struct(*[F.col(f"a.{k}") for k in key])), "left")
     rest = [c for c in main.columns if c not in key]

@@ -54,13 +54,13 @@ KEY = "subject || '---' || predicate || '---' || object || '---' || q || '---' |
 
 @query(GRAPH + f"SELECT {KEY} AS edge_key, {LIST.format(c='agg')} AS aggregators, nullif({LIST.format(c='sup')}, '') AS supporting, nullif({LIST.format(c='pub')}, '') AS publications, count(*) AS merged_rows FROM edges GROUP BY 1")
 def edge_merge_lists(spark, d):
-    m = M.merge_edges(toy.edges(spark, d))
+    m = M.merge_edges(toy.edges(spark, d), with_attributes=False)
     return m.select("edge_key", joined("aggregator_knowledge_source").alias("aggregators"), joined("supporting_data_sources").alias("supporting"), joined("publications").alias("publications"), "merged_rows")
 
 
 @query(GRAPH + f"SELECT {KEY} AS edge_key, coalesce(arg_min(kl, ord) FILTER (WHERE kl <> 'not_provided'), 'not_provided') AS knowledge_level, coalesce(arg_min(agent, ord) FILTER (WHERE agent <> 'not_provided'), 'not_provided') AS agent_type FROM edges GROUP BY 1")
 def edge_merge_klat(spark, d):
-    return M.merge_edges(toy.edges(spark, d)).select("edge_key", "knowledge_level", "agent_type")
+    return M.merge_edges(toy.edges(spark, d), with_attributes=False).select("edge_key", "knowledge_level", "agent_type")
 
 
 @query(GRAPH + f"SELECT edge_key, agg AS source, '[' || array_to_string(list_sort(list(quantity)), ',') || ']' AS quantities FROM (SELECT DISTINCT {KEY} AS edge_key, agg, quantity FROM edges WHERE quantity IS NOT NULL) GROUP BY 1, 2")
@@ -103,7 +103,7 @@ def meta_triples(spark, d):
 
 @query(GRAPH + ", merged AS (SELECT DISTINCT subject, predicate, object, q, prim FROM edges) SELECT a AS subject_category, predicate, b AS object_category, count(*) AS edge_count FROM (SELECT unnest(s.categories) AS a, e.predicate, o.categories AS oc FROM merged e JOIN nodes s ON s.id = e.subject JOIN nodes o ON o.id = e.object) x, unnest(oc) AS t(b) GROUP BY ALL")
 def merged_meta_triples(spark, d):
-    return G.meta_edges(M.merge_edges(toy.edges(spark, d)), toy.nodes(spark, d))
+    return G.meta_edges(M.merge_edges(toy.edges(spark, d), with_attributes=False), toy.nodes(spark, d))
 
 
 @query(META + "SELECT subject_category, object_category, CAST(sum(edge_count) AS BIGINT) AS edge_count FROM triples GROUP BY ALL")
@@ -159,7 +159,7 @@ def graph_summary(spark, d):
 
 @query(GRAPH + f"SELECT 'nodes' AS item, CAST(0 AS BIGINT) AS merged UNION ALL SELECT 'edges', count(*) FROM (SELECT {KEY} FROM edges GROUP BY 1 HAVING count(DISTINCT agg) > 1)")
 def merged_counts(spark, d):
-    return G.merged_counts(toy.nodes(spark, d), M.merge_edges(toy.edges(spark, d)))
+    return G.merged_counts(toy.nodes(spark, d), M.merge_edges(toy.edges(spark, d), with_attributes=False))
 
 
 # Entity resolution
@@ -477,7 +477,7 @@ def vocab_category(spark, d):
 
 @query(VOCAB + "SELECT vocabulary, category, n FROM (SELECT *, sum(n) OVER (PARTITION BY vocabulary) AS r, sum(n) OVER (PARTITION BY category) AS c FROM vc) WHERE r >= 500 AND c >= 700")
 def margin_filter(spark, d):
-    return A.margins(_vocabularies(spark, d), "vocabulary", "category", "n", 500).withColumn("_t", F.lit(1)).drop("_t").join(_vocabularies(spark, d).groupBy("category").agg(F.sum("n").alias("t")).where("t >= 700").select("category"), "category", "left_semi")
+    return A.margins(_vocabularies(spark, d), "vocabulary", "category", "n", 500, 700)
 
 
 @query(VOCAB + "SELECT vocabulary, CAST(sum(n) AS BIGINT) AS total, count(DISTINCT category) AS categories, sum(n) >= 1000 AS large FROM vc GROUP BY 1")
@@ -504,8 +504,8 @@ def _long(spark, d):
 @query(LONG + "SELECT user_id, kind FROM long GROUP BY ALL HAVING count(DISTINCT graph) = (SELECT count(DISTINCT graph) FROM long)")
 def compare_shared(spark, d):
     long = _long(spark, d)
-    graphs = long.select(F.count_distinct("graph").alias("g"))
-    return A.held_by(long, ["user_id", "kind"]).crossJoin(F.broadcast(graphs)).where(F.size("graphs") == F.col("g")).select("user_id", "kind")
+    all_graphs = long.select(F.count_distinct("graph")).scalar()
+    return A.held_by(long, ["user_id", "kind"]).where(F.size("graphs") == all_graphs).select("user_id", "kind")
 
 
 @query(LONG + "SELECT user_id, kind, min(graph) AS graph FROM long GROUP BY ALL HAVING count(DISTINCT graph) = 1")
