@@ -12,7 +12,7 @@ def corpus(spark, n=2000):
     rng = random.Random(8)
     rows = [(i, "w " * rng.randint(1, 40), rng.choice(["hot"] * 8 + ["a", "b", None]), "x", 5) for i in range(n)]
     rows += [(n, None, "a", None, None), (n + 1, "", "b", None, 1), (n + 2, "same", "hot", None, 1), (n + 2, "same", "hot", None, 1)]
-    return spark.createDataFrame(rows, "doc_id long, text string, source string, extra string, mix_epoch int")
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, cut_doc string, mix_epoch int")
 
 
 def reference(shares, repeats):
@@ -28,7 +28,7 @@ def reference(shares, repeats):
 def test_weights_repeats_and_budget(spark):
     docs = corpus(spark)
     out = mixing.mix(docs, repeats=2.5).withColumn("tokens", mixing.words_of("text")).cache()
-    assert out.columns[:5] == ["doc_id", "text", "source", "extra", "mix_epoch"]
+    assert out.columns[:5] == ["doc_id", "text", "source", "cut_doc", "mix_epoch"]
     tokens = {r.s: r.t for r in docs.groupBy(F.coalesce("source", F.lit("")).alias("s")).agg(F.sum(mixing.words_of("text")).alias("t")).collect()}
     whole = sum(tokens.values())
     a = reference([t / whole for t in tokens.values()], 2.5)

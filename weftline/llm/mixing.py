@@ -123,9 +123,9 @@ def mix(docs: DataFrame, entropy: float | None = None, repeats: float | None = 2
     light = base.select(*[c.alias(n[1:]) for n, c in own.items()])
     chosen = plan(staging.put(light, "mixing-rows"), entropy, repeats, budget, seed)
     # One row per source; the optimizer broadcasts it where its size is below the session's limit.
-    placed = base.withColumns({n: c for n, c in own.items() if n != "_tokens"}).join(chosen.select(F.col("source").alias("_source"), F.col("epochs").alias("_epochs"), F.col("weight").alias("mix_weight"), F.col("repeats").alias("_repeats"), "cut_block", "cut_doc"), "_source")
+    placed = base.withColumns({n: c for n, c in own.items() if n != "_tokens"}).join(chosen.select(F.col("source").alias("_source"), F.col("epochs").alias("_epochs"), F.col("weight").alias("mix_weight"), F.col("repeats").alias("_repeats"), F.col("cut_block").alias("_cut_block"), F.col("cut_doc").alias("_cut_doc")), "_source")
     place = _block_key("_source", "_epochs", "_block", seed)
-    in_last = (place < F.col("cut_block")) | ((place == F.col("cut_block")) & (_doc_key("_doc", "_epochs", seed) <= F.col("cut_doc")))
+    in_last = (place < F.col("_cut_block")) | ((place == F.col("_cut_block")) & (_doc_key("_doc", "_epochs", seed) <= F.col("_cut_doc")))
     copies = F.col("_epochs") + F.coalesce(in_last, F.lit(False)).cast("int")
     out = placed.withColumn("_copies", copies).where("_copies > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
     # The place in an epoch: the block's, then the document's within it, each by the epoch's own order.
