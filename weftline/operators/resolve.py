@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import connected_components
+from .merge import merge_attributes
 
 OWN_VOTE = 9
 
@@ -133,40 +134,49 @@ class Fold:
         return [c for c in categories if not any(c in self.ancestors.get(d, ()) for d in categories if d != c)]
 
 
-COLUMNS = ["id", "name", "categories", "provided_by", "synonyms", "equivalent_ids", "description"]
+#: Columns that steer the fold and are no part of a node.
+CONTROL = ("phase", "source_rank", "ordinal", "component", "count")
 
 
 def fold_component(rows: pd.DataFrame, ancestors: dict[str, frozenset[str]] | None = None) -> Fold:
     """rows: node columns with phase (0 primary, 1 merging, 2 joining), source_rank and ordinal."""
-    fold = Fold(ancestors)
+    fold, columns = Fold(ancestors), [c for c in rows.columns if c not in CONTROL]
+    is_list = lambda v: hasattr(v, "__len__") and not isinstance(v, str)
     for r in rows.sort_values(["phase", "source_rank", "ordinal"], kind="stable").to_dict("records"):
-        node = {c: (list(r[c]) if hasattr(r[c], "__len__") and not isinstance(r[c], str) else (None if r[c] is None or r[c] != r[c] else r[c])) for c in COLUMNS}
+        node = {c: list(r[c]) if is_list(r[c]) else None if r[c] is None or r[c] != r[c] else r[c] for c in columns}
         (fold.seed, fold.merging, fold.joining)[int(r["phase"])](node)
     return fold
 
 
 def canonical_nodes(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | None = None, fold_limit: int = 100_000) -> tuple[DataFrame, DataFrame]:
-    """Canonical nodes, and the index (equiv_id, canonical_id). nodes: COLUMNS, phase, source_rank, ordinal."""
+    """Canonical nodes, and the index (equiv_id, canonical_id).
+
+    nodes: scalar and list columns of nodes, phase, source_rank and ordinal; attributes, if there, are merged by
+    source and property in a plan of their own.
+    """
+    columns = [c for c in nodes.columns if c not in (*CONTROL, "attributes")]
     comp = entity_components(nodes)
     if (n := largest_component(comp)) > fold_limit:
         raise ValueError(f"a component of {n} nodes; the limit is {fold_limit}")
-    sizes = comp.groupBy("component").count()
-    placed = nodes.join(comp.dropDuplicates(["id"]), "id").join(sizes, "component")
-    alone = placed.where("count = 1").select(*COLUMNS, F.lit(None).cast("array<string>").alias("indexed"))
-    kinds = {"id": "string", "name": "string", "description": "string"}
-    schema = ", ".join(f"{c} {kinds.get(c, 'array<string>')}" for c in COLUMNS) + ", indexed array<string>"
+    sizes = nodes.join(comp.dropDuplicates(["id"]), "id").groupBy("component").count()
+    placed = nodes.drop("attributes").join(comp.dropDuplicates(["id"]), "id").join(sizes, "component")
+    alone = placed.where("count = 1").select(*columns, F.lit(None).cast("array<string>").alias("indexed"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         fold = fold_component(rows, ancestors)
         held: dict[str, list[str]] = {}
         for e, c in fold.index.items():
             held.setdefault(c, []).append(e)
-        return pd.DataFrame([{**n, "indexed": sorted(held.get(i, []))} for i, n in fold.canonical.items()], columns=[*COLUMNS, "indexed"])
+        return pd.DataFrame([{**n, "indexed": sorted(held.get(i, []))} for i, n in fold.canonical.items()], columns=[*columns, "indexed"])
 
-    folded = placed.where("count > 1").groupBy("component").applyInPandas(run, schema)
+    folded = placed.where("count > 1").groupBy("component").applyInPandas(run, alone.schema)
     out = alone.unionByName(folded)
     index = out.select(F.explode(F.coalesce("indexed", "equivalent_ids")).alias("equiv_id"), F.col("id").alias("canonical_id"))
-    return out.drop("indexed"), index
+    out = out.drop("indexed")
+    if "attributes" in nodes.columns:
+        owned = nodes.select(F.col("id").alias("equiv_id"), "attributes").join(index, "equiv_id")
+        out = out.join(merge_attributes(owned, ["canonical_id"]).withColumnRenamed("canonical_id", "id"), "id", "left")
+    return out, index
 
 
 def overlapping_ids(nodes: DataFrame) -> DataFrame:
