@@ -79,3 +79,31 @@ def test_bands_and_empty_table(spark):
     assert S.bands_for(0.95, 0.8) == 2 and S.bands_for(0.999, 0.8) == 5
     docs, _, _ = corpus(spark)
     assert S.repeated_passages(docs.where("false")).collect() == []
+
+
+def shingles(words):
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_near_copied_passages_of_51_to_75_words_are_found(spark):
+    rng = random.Random(12)
+    prose = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+    rows, want = [], {}
+    for k in range(300):
+        n = 51 + k % 25
+        one = prose(n)
+        at = rng.randint(n // 3, 2 * n // 3)
+        two = [*one[:at], *prose(1), *one[at + 1 :]]
+        a, b = shingles(one), shingles(two)
+        if len(a & b) >= 0.8 * len(a | b):
+            want[2 * k + 1] = set(two)
+        rows += [(2 * k, " ".join([*prose(40), *one, *prose(40)]), "s", "", 0), (2 * k + 1, " ".join([*prose(40), *two, *prose(40)]), "s", "", 0)]
+    got = S.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()
+    text = {r[0]: r[1] for r in rows}
+    part = {}
+    for r in got:
+        words = text[r.id].encode()[r.start : r.start + r.size].decode().split()
+        assert len(words) == r.words and r.kept_id == r.id - 1 and r.id in want
+        part.setdefault(r.id, set()).update(words)
+    whole = [i for i in want if len(want[i] & part.get(i, set())) >= 0.95 * len(want[i])]
+    assert len(want) == 300 and len(whole) >= 0.95 * len(want)

@@ -11,11 +11,17 @@ first; only paragraphs that have one go on. Equal paragraphs are one class, so a
 a few rows; classes that collide are verified by exact Jaccard similarity of their sets, and linked classes are
 clustered by connected components. Of a cluster, the occurrence in the smallest document (then the first in it)
 stays. Other occurrences count as removable where they form a run of at least ``min_words`` words.
+
+One changed word spoils the whole paragraph around it, so runs are also read as seeds: the words on both sides of a
+seed are aligned with those at its kept occurrence, over changed places, and the longest window of at least
+``min_words`` words whose five-word shingles have the threshold similarity is removable too. Passages that overlap
+are one.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +36,10 @@ from . import textkernel as K
 
 REACH = 4
 SHINGLE = 5
+#: Words aligned on each side of a seed, and words that a changed place may have. Windows of a longer passage overlap.
+CONTEXT = 80
+CHANGED = 16
+INK = re.compile(rb"[^\x09-\x0d\x20]+")
 
 
 def bands_for(recall: float, similarity: float) -> int:
@@ -38,7 +48,7 @@ def bands_for(recall: float, similarity: float) -> int:
 
 
 class Paragraphs:
-    """The paragraphs of a column of texts, as arrays: row, index in the row, byte span, words, shingles, band values."""
+    """The paragraphs of a column of texts, as arrays: row, word number in the row, byte span, words, shingles, band values."""
 
     def __init__(self, column: pa.Array, bands: int):
         raw, self.offsets = K.utf8(column)
@@ -61,7 +71,7 @@ class Paragraphs:
         last = np.append(first[1:], n) - 1 if n else first
         ids = np.cumsum(begins) - 1
         self.row = r[first]
-        self.index = np.arange(len(first)) - np.searchsorted(self.row, self.row)
+        self.at_word = first - np.searchsorted(r, self.row)
         self.start, self.end = s[first] - self.offsets[self.row], e[last] - self.offsets[self.row]
         self.words = last - first + 1
         self.items, owner = K.shingles(h, ids, SHINGLE)
@@ -100,7 +110,7 @@ def _shared_keys(rows: DataFrame, bands: int) -> DataFrame:
 
 
 def _occurrences(rows: DataFrame, keys: DataFrame, bands: int) -> DataFrame:
-    """(key, id, index, start, size, words, items, kind) of the paragraphs under the given band values.
+    """(key, id, at, start, size, words, items, kind) of the paragraphs under the given band values.
 
     Of every paragraph only this much is shuffled; items are 32 bits each, and a class is a digest of them.
     """
@@ -109,12 +119,12 @@ def _occurrences(rows: DataFrame, keys: DataFrame, bands: int) -> DataFrame:
         for b in K.slices(batches, "text", 1 << 18):
             p = Paragraphs(b.column("text"), bands)
             sets = pa.array(p.sets(), pa.binary())
-            own = [b.column("id").take(pa.array(p.row)), pa.array(p.index, pa.int32()), pa.array(p.start, pa.int32()), pa.array(p.end - p.start, pa.int32()), pa.array(p.words, pa.int32()), sets]
+            own = [b.column("id").take(pa.array(p.row)), pa.array(p.at_word, pa.int32()), pa.array(p.start, pa.int32()), pa.array(p.end - p.start, pa.int32()), pa.array(p.words, pa.int32()), sets]
             for key in p.keys:
-                yield pa.RecordBatch.from_arrays([pa.array(key), *own], names=["key", "id", "index", "start", "size", "words", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *own], names=["key", "id", "at", "start", "size", "words", "items"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key long, id {kind}, index int, start int, size int, words int, items binary").join(keys, "key", "left_semi").withColumn("kind", F.xxhash64("items"))
+    return rows.mapInArrow(run, f"key long, id {kind}, at int, start int, size int, words int, items binary").join(keys, "key", "left_semi").withColumn("kind", F.xxhash64("items"))
 
 
 def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -152,19 +162,35 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     pairs = [near.where(F.col("kind") != F.col(f"{e}.kind")).select(F.col("kind").alias("a"), F.col("items").alias("xa"), F.col(f"{e}.kind").alias("b"), F.col(f"{e}.items").alias("xb")) for e in ("low", "high")]
     links = staging.put(_similar(pairs[0].unionByName(pairs[1]), similarity).distinct(), "links")
     comp = staging.put(connected_components(links, "a", "b"), "components")
-    places = found.select("id", "index", "start", "size", "words", "kind").distinct()
+    places = found.select("id", "at", "start", "size", "words", "kind").distinct()
     named = places.join(comp.select(F.col("node").alias("kind"), "component"), "kind", "left").withColumn("cluster", F.coalesce("component", "kind")).drop("component", "kind")
     named = staging.put(named, "occurrences")
     staging.drop_since(start, keep=(named,))
-    kept = named.groupBy("cluster").agg(F.min(F.struct("id", "index")).alias("k"), F.max("id").alias("most")).where("k.id < most").select("cluster", F.col("k.id").alias("kept_id"))
+    kept = named.groupBy("cluster").agg(F.min(F.struct("id", "at", "start")).alias("k"), F.max("id").alias("most")).where("k.id < most").select("cluster", F.col("k.id").alias("kept_id"), F.col("k.start").alias("kept_start"))
     again = named.join(kept, "cluster").where(F.col("id") != F.col("kept_id"))
-    return _runs(again, min_words)
+    runs = staging.put(_runs(again), "runs")
+    staging.drop(named)
+    seeds = runs.select("id", F.explode("seeds").alias("s")).select("id", "s.*")
+    whole = runs.where(F.col("words") >= min_words).select("id", *SPAN)
+    out = staging.put(_joined(whole.unionByName(_windows(seeds, rows, similarity, min_words))), "passages")
+    staging.drop_since(start, keep=(out,))
+    return out
+
+
+SPAN = ["at", "start", "size", "words", "cluster", "kept_id"]
+
+
+def _arrow(kind: T.DataType) -> pa.DataType:
+    return pa.int64() if isinstance(kind, T.LongType) else pa.int32() if isinstance(kind, T.IntegerType) else pa.string()
+
 
+def _runs(again: DataFrame) -> DataFrame:
+    """(id, at, start, size, words, cluster, kept_id, seeds) of runs of paragraphs that follow each other in a document.
 
-def _runs(again: DataFrame, min_words: int) -> DataFrame:
-    """Runs of paragraphs that follow each other in a document."""
+    Seeds are a run's first and last paragraphs, and those where the kept document changes.
+    """
     kind = again.schema["id"].dataType
-    names = ["index", "start", "size", "words", "cluster", "kept_id"]
+    names = ["at", "start", "size", "words", "cluster", "kept_id", "kept_start"]
     # A document's repeated paragraphs are bounded by its own length.
     lists = again.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(*names))).alias("p"))
 
@@ -174,17 +200,144 @@ def _runs(again: DataFrame, min_words: int) -> DataFrame:
             for i, ps in zip(b.column("id").to_pylist(), b.column("p").to_pylist()):
                 group: list[dict] = []
                 for p in [*ps, None]:
-                    if group and (p is None or p["index"] > group[-1]["index"] + 1):
-                        if (n := sum(q["words"] for q in group)) >= min_words:
-                            out.append((i, group[0]["start"], group[-1]["start"] + group[-1]["size"] - group[0]["start"], n, group[0]["cluster"], group[0]["kept_id"]))
+                    if group and (p is None or p["at"] > group[-1]["at"] + group[-1]["words"]):
+                        ends = [q for k, q in enumerate(group) if k in (0, len(group) - 1) or q["kept_id"] != group[k - 1]["kept_id"] or q["kept_id"] != group[k + 1]["kept_id"]]
+                        seeds = [{c: q[c] for c in ("at", "start", "cluster", "kept_id", "kept_start")} for q in ends]
+                        out.append((i, group[0]["at"], group[0]["start"], group[-1]["start"] + group[-1]["size"] - group[0]["start"], sum(q["words"] for q in group), group[0]["cluster"], group[0]["kept_id"], seeds))
                         group = []
-                    if p is not None and not (group and p["index"] == group[-1]["index"]):
+                    # Rows that repeat an id may cut it otherwise; their paragraphs overlap.
+                    if p is not None and not (group and p["at"] < group[-1]["at"] + group[-1]["words"]):
                         group.append(p)
+            columns = list(zip(*out)) or [()] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", *SPAN, "seeds"])
+
+    arrow, name = _arrow(kind), kind.simpleString()
+    seed = pa.list_(pa.struct([("at", pa.int32()), ("start", pa.int32()), ("cluster", pa.int64()), ("kept_id", arrow), ("kept_start", pa.int32())]))
+    types = [arrow, pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), arrow, seed]
+    return lists.mapInArrow(run, f"id {name}, at int, start int, size int, words int, cluster long, kept_id {name}, seeds array<struct<at int, start int, cluster long, kept_id {name}, kept_start int>>")
+
+
+def _contexts(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """(id, start, before, after): the words on both sides of the given places, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in K.slices(batches, "text"):
+            raw, offsets = K.utf8(b.column("text"))
+            s, e, r = K.words(raw, offsets)
+            first = np.searchsorted(r, np.arange(b.num_rows + 1))
+            data, out = raw.tobytes(), []
+            for k, (i, starts) in enumerate(zip(b.column("id").to_pylist(), b.column("starts").to_pylist())):
+                lo, hi = first[k], first[k + 1]
+                for start, w in zip(starts, lo + np.searchsorted(s[lo:hi], offsets[k] + np.array(starts))):
+                    if w < hi and s[w] == offsets[k] + start:
+                        out.append((i, start, data[s[max(lo, w - CONTEXT)] : s[w]], data[s[w] : e[min(hi, w + CONTEXT) - 1]]))
+            columns = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "start", "before", "after"])
+
+    kind = rows.schema["id"].dataType
+    types = [_arrow(kind), pa.int32(), pa.binary(), pa.binary()]
+    # A document's places are bounded by its own length.
+    lists = places.groupBy("id").agg(F.collect_set("start").alias("starts"))
+    return rows.join(lists, "id").select("id", "text", "starts").mapInArrow(run, f"id {kind.simpleString()}, start int, before binary, after binary")
+
+
+def aligned(x: list[bytes], y: list[bytes], most: int) -> list[tuple[int, int]]:
+    """Where stretches of equal words end, from the start of x and y on, over at most so many changed places."""
+    i = j = 0
+    ends = []
+    while True:
+        n = min(len(x) - i, len(y) - j)
+        k = 0
+        while k < n and x[i + k] == y[j + k]:
+            k += 1
+        i, j = i + k, j + k
+        ends.append((i, j))
+        if k == n or len(ends) > most:
+            return ends
+        seen: dict[tuple, int] = {}
+        for d in range(min(CHANGED, len(y) - j - 3) + 1):
+            seen.setdefault(tuple(y[j + d : j + d + 3]), d)
+        met = [(d + seen[t], d, seen[t]) for d in range(min(CHANGED, len(x) - i - 3) + 1) if (t := tuple(x[i + d : i + d + 3])) in seen]
+        if not met:
+            return ends
+        _, di, dj = min(met)
+        i, j = i + di, j + dj
+
+
+def grams(words: list[bytes]) -> set[tuple]:
+    return {tuple(words[k : k + SHINGLE]) for k in range(max(1, len(words) - SHINGLE + 1))}
+
+
+def window(x: tuple[bytes, bytes], y: tuple[bytes, bytes], similarity: float, min_words: int) -> tuple[int, int] | None:
+    """Words before and after a seed of the longest window in x that has this similarity with its counterpart in y."""
+    (xl, xr), (yl, yr) = ([t.lower().split() for t in side] for side in (x, y))
+    # A changed word alone costs one in (1 - similarity) / (1 + similarity) of the shingles.
+    most = math.ceil(2 * CONTEXT * (1 - similarity) / (1 + similarity) / SHINGLE)
+    left, right = aligned(xl[::-1], yl[::-1], most), aligned(xr, yr, most)
+    for (a, c), (b, d) in sorted(((p, q) for p in left for q in right), key=lambda w: -w[0][0] - w[1][0]):
+        if a + b < min_words:
+            return None
+        if c + d < similarity * (a + b) / 2:
+            continue
+        u, v = grams(xl[len(xl) - a :] + xr[:b]), grams(yl[len(yl) - c :] + yr[:d])
+        both = len(u & v)
+        if both >= similarity * (len(u) + len(v) - both) - 1e-9:
+            return a, b
+    return None
+
+
+def _windows(seeds: DataFrame, rows: DataFrame, similarity: float, min_words: int) -> DataFrame:
+    """(id, at, start, size, words, cluster, kept_id) of the windows around seeds that are similar to the kept ones."""
+    places = seeds.select("id", "start").unionByName(seeds.select(F.col("kept_id").alias("id"), F.col("kept_start").alias("start")))
+    near = staging.put(_contexts(rows, places), "contexts")
+    mine = near.select("id", "start", F.col("before").alias("xb"), F.col("after").alias("xa"))
+    kept = near.select(F.col("id").alias("kept_id"), F.col("start").alias("kept_start"), F.col("before").alias("yb"), F.col("after").alias("ya"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for q in b.to_pylist():
+                if (found := window((q["xb"], q["xa"]), (q["yb"], q["ya"]), similarity, min_words)) is None:
+                    continue
+                l, r = found
+                before = [m.start() for m in INK.finditer(q["xb"])] if l else []
+                begin = q["start"] - (len(q["xb"]) - before[len(before) - l] if l else 0)
+                after = [m.end() for m in INK.finditer(q["xa"])] if r else []
+                end = q["start"] + (after[r - 1] if r else 0)
+                out.append((q["id"], q["at"] - l, begin, end - begin, l + r, q["cluster"], q["kept_id"]))
+            columns = list(zip(*out)) or [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", *SPAN])
+
+    kind = seeds.schema["id"].dataType
+    types = [_arrow(kind), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), _arrow(kind)]
+    name = kind.simpleString()
+    met = seeds.join(mine, ["id", "start"]).join(kept, ["kept_id", "kept_start"])
+    return met.mapInArrow(run, f"id {name}, at int, start int, size int, words int, cluster long, kept_id {name}")
+
+
+def _joined(spans: DataFrame) -> DataFrame:
+    """(id, start, size, words, cluster, kept_id): spans of a document that overlap or touch are one."""
+    kind = spans.schema["id"].dataType
+    lists = spans.groupBy("id").agg(F.sort_array(F.collect_set(F.struct(*SPAN))).alias("p"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = []
+            for i, ps in zip(b.column("id").to_pylist(), b.column("p").to_pylist()):
+                last = None
+                for p in ps:
+                    if last and p["at"] <= last["at"] + last["words"]:
+                        last["words"] = max(last["words"], p["at"] + p["words"] - last["at"])
+                        last["size"] = max(last["size"], p["start"] + p["size"] - last["start"])
+                        continue
+                    if last:
+                        out.append([i, *(last[c] for c in SPAN[1:])])
+                    last = p
+                out.append([i, *(last[c] for c in SPAN[1:])])
             columns = list(zip(*out)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "start", "size", "words", "cluster", "kept_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", *SPAN[1:]])
 
-    arrow = pa.int64() if isinstance(kind, T.LongType) else pa.int32() if isinstance(kind, T.IntegerType) else pa.string()
-    types = [arrow, pa.int32(), pa.int32(), pa.int32(), pa.int64(), arrow]
+    types = [_arrow(kind), pa.int32(), pa.int32(), pa.int32(), pa.int64(), _arrow(kind)]
     name = kind.simpleString()
     return lists.mapInArrow(run, f"id {name}, start int, size int, words int, cluster long, kept_id {name}")
 
