@@ -107,3 +107,31 @@ def test_near_copied_passages_of_51_to_75_words_are_found(spark):
         part.setdefault(r.id, set()).update(words)
     whole = [i for i in want if len(want[i] & part.get(i, set())) >= 0.95 * len(want[i])]
     assert len(want) == 300 and len(whole) >= 0.95 * len(want)
+
+
+def test_similar_classes_under_one_band_value_share_a_component(spark):
+    rng = random.Random(13)
+    rows, sets = [], {}
+    for key in range(60):
+        bases = [[rng.randrange(1 << 32) for _ in range(rng.randint(5, 14))] for _ in range(4)]
+        for k in range(16):
+            base = bases[k % 4]
+            items = sorted({key, *base, *(rng.randrange(1 << 32) for _ in range(rng.randint(0, 1)))} - {rng.choice(base) for _ in range(rng.randint(0, 1))})
+            kind = rng.randrange(-(1 << 63), 1 << 63)
+            sets[kind] = (key, set(items))
+            rows.append((key, kind, bytearray(np.array(items, np.uint32).tobytes())))
+    got = {r.node: r.component for r in S._clusters(spark.createDataFrame(rows, "key long, kind long, items binary"), 0.8).collect()}
+    root = {k: k for k in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, (ka, xa) in sets.items():
+        for b, (kb, xb) in sets.items():
+            if a < b and ka == kb and 5 * len(xa & xb) >= 4 * len(xa | xb):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    assert {k: got.get(k, k) for k in sets} == {k: find(k) for k in sets}
+    assert len({find(k) for k in sets}) < len(sets) - 200

@@ -142,34 +142,109 @@ def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _open(lists: DataFrame, by: str, comp: DataFrame) -> DataFrame:
+    """Members of the lists that still hold more than one component, with their component."""
+    named = lists.join(comp.select(F.col("node").alias("kind"), F.col("component").alias("c")), "kind", "left").withColumn("comp", F.coalesce("c", "kind")).drop("c")
+    apart = named.groupBy(by).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select(by)
+    return named.join(apart, by)
+
+
+def _prefixes(members: DataFrame, similarity: float) -> DataFrame:
+    """(item, kind, items, n, s, sketch) of the classes that may still link two components.
+
+    A link shares this much of the union, so of n items all but that share, and one more, must hold a common item;
+    items are ordered by how many of the classes have them, and an item of one class alone needs no list. s counts
+    the items that another class has, sketch is their parity in 64 bins.
+    """
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in b.column("items")]
+            n = np.array([len(x) for x in sets], np.int32)
+            item = np.concatenate(sets).astype(np.int64) if sets else np.zeros(0, np.int64)
+            bit = K.mix(item.view(np.uint64)) & np.uint64(63)
+            sketch = np.array([np.bitwise_xor.reduce(np.uint64(1) << x) for x in np.split(bit, np.cumsum(n)[:-1])], np.uint64) if sets else np.zeros(0, np.uint64)
+            at = np.repeat(np.arange(len(n)), n)
+            yield pa.RecordBatch.from_arrays([b.column("kind").take(pa.array(at)), pa.array(n[at], pa.int32()), pa.array(sketch.view(np.int64)[at]), pa.array(item)], names=["kind", "n", "sketch", "item"])
+
+    sets = staging.put(members.select("kind", "items").dropDuplicates(["kind"]), "open")
+    items = staging.put(sets.mapInArrow(unpack, "kind long, n int, sketch long, item long"), "items")
+    shared = items.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = items.join(shared, "item").groupBy("kind", "n", "sketch").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("e"))
+    keep = F.size("e") - F.ceil(F.col("n") * F.lit(similarity) - 1e-9).cast("int") + 1
+    posted = ranked.where(keep > 0).select("kind", "n", "sketch", F.size("e").alias("s"), F.explode(F.slice("e", 1, keep)).alias("x"))
+    return posted.join(sets, "kind").select(F.col("x.item").alias("item"), "kind", "items", "n", "s", "sketch")
+
+
+def _able(x: str, y: str, similarity: float) -> F.Column:
+    """Whether a link is possible by the items that another class has and by the parities; no link fails these bounds."""
+    most, both = F.least(f"{x}.s", f"{y}.s"), F.col(f"{x}.n") + F.col(f"{y}.n")
+    differ = F.bit_count(F.col(f"{x}.sketch").bitwiseXOR(F.col(f"{y}.sketch")))
+    return (most >= similarity * (both - most) - 1e-9) & ((1 + similarity) * differ <= (1 - similarity) * both + 1e-9)
+
+
+def _star(lists: DataFrame, comp: DataFrame, similarity: float) -> DataFrame:
+    """Each class with one pivot of its list."""
+    members = _open(lists, "item", comp)
+    order = F.struct(F.xxhash64("kind", "item").alias("h"), "kind", "comp", "items", "n", "s", "sketch")
+    met = members.alias("x").join(members.groupBy("item").agg(F.min(order).alias("y")), "item").where((F.col("x.comp") != F.col("y.comp")) & _able("x", "y", similarity))
+    return met.select(F.col("x.kind").alias("a"), F.col("x.items").alias("xa"), F.col("y.kind").alias("b"), F.col("y.items").alias("xb"))
+
+
+def _rest(lists: DataFrame, comp: DataFrame, similarity: float) -> DataFrame:
+    """Every pair of classes of one list that lie in different components."""
+    members = _open(lists, "item", comp)
+    x, y = members.alias("x"), members.alias("y")
+    met = x.join(y, (F.col("x.item") == F.col("y.item")) & (F.col("x.kind") < F.col("y.kind")) & (F.col("x.comp") != F.col("y.comp")) & _able("x", "y", similarity))
+    return met.select(F.col("x.kind").alias("a"), F.col("x.items").alias("xa"), F.col("y.kind").alias("b"), F.col("y.items").alias("xb"))
+
+
+def _clusters(classes: DataFrame, similarity: float) -> DataFrame:
+    """(node, component) of the classes under shared band values: ends first, then all that are still apart."""
+    ends = classes.groupBy("key").agg(F.min(F.struct("kind", "items")).alias("low"), F.max(F.struct("kind", "items")).alias("high")).where("low.kind != high.kind")
+    near = classes.join(ends, "key")
+    pairs = [near.where(F.col("kind") != F.col(f"{e}.kind")).select(F.col("kind").alias("a"), F.col("items").alias("xa"), F.col(f"{e}.kind").alias("b"), F.col(f"{e}.items").alias("xb")) for e in ("low", "high")]
+    links = staging.put(_similar(pairs[0].unionByName(pairs[1]), similarity).distinct(), "links")
+    comp = staging.put(connected_components(links, "a", "b"), "components")
+    staging.release(classes.sparkSession)
+    lists = staging.put(_prefixes(_open(classes, "key", comp), similarity), "prefixes")
+    for met in (_star, _rest):
+        more = staging.put(_similar(met(lists, comp, similarity), similarity).distinct(), "links")
+        links = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+        comp = staging.put(connected_components(links, "a", "b"), "components")
+    return comp
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, recall: float = 0.95, min_words: int = 24) -> DataFrame:
     """(id, start, size, words, cluster, kept_id): byte spans of passages that repeat one of a smaller document.
 
     cluster is the smallest class of the passage's first paragraph, kept_id the document that keeps the passage's
     first paragraph. Repeats within one document only, and rows that repeat an id, are one document. Null and empty
-    texts and null ids have no passages; an empty table gives none. No passage, document or partner is capped. A class is linked to
-    the smallest and the largest class under each of its band values, and so to a third over one of them.
+    texts and null ids have no passages; an empty table gives none. No passage, document or partner is capped. Classes
+    are first linked to the smallest and the largest under each of their band values; those under a band value that
+    are still apart are then compared by the prefix rule, until every similar pair shares a component.
     """
     bands = bands_for(recall, similarity)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null")
     start = staging.mark()
     keys = staging.put(_shared_keys(rows, bands), "keys")
+    staging.release(rows.sparkSession)
     found = staging.put(_occurrences(rows, keys, bands), "paragraphs")
+    staging.release(rows.sparkSession)
     classes = found.select("key", "kind", "items").groupBy("key", "kind").agg(F.first("items").alias("items"))
     classes = staging.put(classes, "classes")
-    ends = classes.groupBy("key").agg(F.min(F.struct("kind", "items")).alias("low"), F.max(F.struct("kind", "items")).alias("high")).where("low.kind != high.kind")
-    near = classes.join(ends, "key")
-    pairs = [near.where(F.col("kind") != F.col(f"{e}.kind")).select(F.col("kind").alias("a"), F.col("items").alias("xa"), F.col(f"{e}.kind").alias("b"), F.col(f"{e}.items").alias("xb")) for e in ("low", "high")]
-    links = staging.put(_similar(pairs[0].unionByName(pairs[1]), similarity).distinct(), "links")
-    comp = staging.put(connected_components(links, "a", "b"), "components")
-    places = found.select("id", "at", "start", "size", "words", "kind").distinct()
+    places = staging.put(found.select("id", "at", "start", "size", "words", "kind").distinct(), "places")
+    staging.drop_since(start, keep=(classes, places))
+    comp = _clusters(classes, similarity)
     named = places.join(comp.select(F.col("node").alias("kind"), "component"), "kind", "left").withColumn("cluster", F.coalesce("component", "kind")).drop("component", "kind")
     named = staging.put(named, "occurrences")
     staging.drop_since(start, keep=(named,))
+    staging.release(rows.sparkSession)
     kept = named.groupBy("cluster").agg(F.min(F.struct("id", "at", "start")).alias("k"), F.max("id").alias("most")).where("k.id < most").select("cluster", F.col("k.id").alias("kept_id"), F.col("k.start").alias("kept_start"))
     again = named.join(kept, "cluster").where(F.col("id") != F.col("kept_id"))
     runs = staging.put(_runs(again), "runs")
     staging.drop(named)
+    staging.release(rows.sparkSession)
     seeds = runs.select("id", F.explode("seeds").alias("s")).select("id", "s.*")
     whole = runs.where(F.col("words") >= min_words).select("id", *SPAN)
     out = staging.put(_joined(whole.unionByName(_windows(seeds, rows, similarity, min_words))), "passages")

@@ -8,7 +8,9 @@ own is made once and set.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +61,17 @@ def drop_since(point: int, keep: tuple[DataFrame, ...] = ()) -> None:
         _made.remove((spark, path))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries; else they stay until the driver happens to collect its garbage.
+
+    The cleaner works in its own thread, and what it frees first holds the rest: one collection is not enough.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
