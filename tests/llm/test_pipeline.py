@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import corpus_pipeline
 
@@ -27,3 +28,21 @@ def test_stages_work_on_what_is_left(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 100
+
+
+def test_near_dedup_stage_equals_brute_force_on_five_words(spark):
+    rng = random.Random(14)
+    prose = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+    texts = []
+    for k in range(30):
+        one, two = prose(100), prose(200)
+        texts += [one, [*one, *prose(15 + k % 15)]]
+        changed = list(two)
+        for at in range(20, 20 + 40 * (3 + k % 3), 40):
+            changed[at] = prose(1)[0]
+        texts += [two, changed]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    want = {i for i in range(len(texts)) if not any(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in range(i))}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()}
+    assert got == want and 60 < len(want) < 120
