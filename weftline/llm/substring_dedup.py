@@ -15,7 +15,8 @@ stays. Other occurrences count as removable where they form a run of at least ``
 One changed word spoils the whole paragraph around it, so runs are also read as seeds: the words on both sides of a
 seed are aligned with those at its kept occurrence, over changed places, and the longest window of at least
 ``min_words`` words whose five-word shingles have the threshold similarity is removable too. Passages that overlap
-are one.
+are one. A seed is aligned with its cluster's kept occurrence only, so a near copy of which no seed leads to the
+same document, or that has no whole paragraph unchanged, stays.
 """
 
 from __future__ import annotations
