@@ -71,7 +71,7 @@ def test_paragraphs_do_not_depend_on_neighbours():
     for i, t in enumerate(texts):
         one = S.Paragraphs(pa.array([t]), 2)
         mine = both.row == i
-        assert one.sets() == [s for s, m in zip(both.sets(), mine) if m] and np.array_equal(one.start, both.start[mine]) and np.array_equal(one.keys[1], both.keys[1][mine])
+        assert one.sets().to_pylist() == [s for s, m in zip(both.sets().to_pylist(), mine) if m] and np.array_equal(one.at_word, both.at_word[mine]) and np.array_equal(one.keys[1], both.keys[1][mine])
         assert one.words.sum() == len(t.split())
 
 
@@ -120,7 +120,9 @@ def test_similar_classes_under_one_band_value_share_a_component(spark):
             kind = rng.randrange(-(1 << 63), 1 << 63)
             sets[kind] = (key, set(items))
             rows.append((key, kind, bytearray(np.array(items, np.uint32).tobytes())))
-    got = {r.node: r.component for r in S._clusters(spark.createDataFrame(rows, "key long, kind long, items binary"), 0.8).collect()}
+    classes = spark.createDataFrame([r[:2] for r in rows], "key long, kind long")
+    items = spark.createDataFrame([r[1:] for r in rows], "kind long, items binary")
+    got = {r.node: r.component for r in S._clusters(classes, items, 0.8).collect()}
     root = {k: k for k in sets}
 
     def find(x):
@@ -135,3 +137,76 @@ def test_similar_classes_under_one_band_value_share_a_component(spark):
                 root[high] = low
     assert {k: got.get(k, k) for k in sets} == {k: find(k) for k in sets}
     assert len({find(k) for k in sets}) < len(sets) - 200
+
+
+def test_rows_that_repeat_an_id_have_their_own_spans(spark):
+    rng = random.Random(15)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghéüñ") for _ in range(6)) for _ in range(n))
+    shared, other = prose(60), prose(60)
+    rows = [(1, f"{prose(30)} {shared} {prose(20)}"), (1, f"{prose(44)} {other}"), (2, f"{prose(9)} {shared} {prose(50)}"), (2, f"{prose(70)} {other} {prose(5)}"), (2, prose(90)), (2, f"{prose(9)} {shared}")]
+    rows.append(rows[2])
+    docs = spark.createDataFrame([(i, t, "a", i, t) for i, t in rows], "doc_id long, text string, spans string, id long, digest string")
+    got = S.repeated_passages(docs)
+    out = S.without_passages(docs, got)
+    assert out.columns == docs.columns
+    left = sorted((r.digest, r.text) for r in out.collect() if r.text != r.digest)
+    assert sorted({t for t, _ in left}) == sorted({rows[2][1], rows[3][1], rows[5][1]}) and len(left) == 4
+    for before, after in left:
+        assert set(after.split()) <= set(before.split()) and 55 <= len(before.split()) - len(after.split()) <= 62
+
+
+def plain_aligned(x, y, most):
+    """Where stretches of equal words end, over at most so many changed places."""
+    i = j = 0
+    ends = []
+    while True:
+        while i < len(x) and j < len(y) and x[i] == y[j]:
+            i, j = i + 1, j + 1
+        ends.append((i, j))
+        if i == len(x) or j == len(y) or len(ends) > most:
+            return ends
+        met = [(d + e, d, e) for d in range(S.CHANGED + 1) for e in range(S.CHANGED + 1) if len(x[i + d : i + d + 3]) == 3 and x[i + d : i + d + 3] == y[j + e : j + e + 3]]
+        if not met:
+            return ends
+        i, j = i + min(met)[1], j + min(met)[2]
+
+
+def test_alignment_equals_the_plain_one():
+    rng = random.Random(16)
+    xs, ys = [], []
+    for _ in range(400):
+        x = [rng.randrange(2, 2 + rng.choice([3, 1000])) for _ in range(rng.randint(0, S.CONTEXT))]
+        y = list(x)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randint(0, len(y))
+            y[at : at + rng.randint(0, 5)] = [rng.randrange(2, 1000) for _ in range(rng.randint(0, 5))]
+        xs.append(x)
+        ys.append(y[: S.CONTEXT])
+    pad = lambda rows, v: S._padded(pa.array([np.array(r, np.uint32).tobytes() for r in rows], pa.binary()), v)
+    (x, nx), (y, ny) = pad(xs, -1), pad(ys, -2)
+    a, b, _, n = S.aligned(x, nx, y, ny, 3)
+    for k in range(len(xs)):
+        assert [(int(a[k, i]), int(b[k, i])) for i in range(n[k])] == plain_aligned(xs[k], ys[k], 3)
+
+
+def test_jaccard_of_sequences_equals_that_of_sets():
+    rng = random.Random(17)
+    for _ in range(300):
+        x = [rng.randrange(5) for _ in range(rng.randint(1, 40))]
+        y = list(x)
+        y[rng.randrange(len(y))] = 9
+        u, v = ({tuple(s[i : i + 5]) for i in range(max(1, len(s) - 4))} for s in (x, y))
+        assert S.similar(np.array(x, np.uint32), np.array(y, np.uint32), 0.8) == (5 * len(u & v) >= 4 * len(u | v))
+
+
+def test_passages_that_many_documents_share(spark):
+    """One passage in a third of all documents, kept once; texts around it stay."""
+    rng = random.Random(18)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    passage = prose(64)
+    rows = [(i, f"{prose(30)} {passage} {prose(30)}" if i % 3 == 0 else prose(80), "s", "", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = {r.doc_id: r.text for r in S.without_passages(docs, S.repeated_passages(docs)).collect()}
+    for i, text, *_ in rows:
+        words = len(out[i].split())
+        assert out[i] == text if i % 3 or i == 0 else 58 <= words <= 64

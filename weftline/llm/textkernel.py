@@ -22,6 +22,16 @@ _UNBASE = U(pow(int(_BASE), -1, 1 << 64))
 #: Space and the controls tab to carriage return separate words.
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes that are hashed at a time.
+SEGMENT = 1 << 20
+
+
+def fresh(names: list[str], name: str) -> str:
+    """A column name like ``name`` that is not among the names."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def slices(batches, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -50,9 +60,8 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - first
 
 
-@lru_cache(4)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, _BASE, np.uint64), np.full(n, _UNBASE, np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
@@ -66,13 +75,28 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
-    """A 64-bit hash of each byte span; with fold, A-Z count as a-z."""
+    """A 64-bit hash of each byte span, in order and apart from each other; with fold, A-Z count as a-z.
+
+    Sums run over segments, so memory beyond the input is that of a segment.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers(max(20, int(len(raw)).bit_length()))
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((_FOLD if fold else _BYTE)[raw] * up[: len(raw)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    up, down = _powers(SEGMENT)
+    code, out = _FOLD if fold else _BYTE, np.empty(len(starts), np.uint64)
+    for a in range(0, len(raw), SEGMENT):
+        part = raw[a : a + SEGMENT]
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(code[part] * up[: len(part)], out=total[1:])
+        lo, hi = np.searchsorted(starts, (a, a + SEGMENT))
+        s = starts[lo:hi] - a
+        out[lo:hi] = (total[np.minimum(ends[lo:hi] - a, len(part))] - total[s]) * down[s]
+    for k in np.flatnonzero(starts // SEGMENT != (ends - 1) // SEGMENT) if len(raw) > SEGMENT else ():
+        s, e = int(starts[k]), int(ends[k])
+        for a in range((s // SEGMENT + 1) * SEGMENT, e, SEGMENT):
+            part = raw[a : min(e, a + SEGMENT)]
+            more = int((code[part] * up[: len(part)]).sum(dtype=np.uint64)) * pow(int(_BASE), a - s, 1 << 64)
+            out[k] = (int(out[k]) + more) % (1 << 64)
+    return mix(out + (ends - starts).astype(np.uint64))
 
 
 def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,8 +125,10 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray,
     if k > 0:
         full = rows[:k] == rows[n - 1 :]
         acc = np.zeros(k, np.uint64)
-        for i in range(n):
-            acc = mix(acc * U(0xD6E8FEB86659FD93) + hashes[i : i + k] + U(n))
+        for a in range(0, k, 1 << 16):
+            part = acc[a : a + (1 << 16)]
+            for i in range(n):
+                part[:] = mix(part * U(0xD6E8FEB86659FD93) + hashes[a + i : a + i + len(part)] + U(n))
         parts_h.append(acc[full])
         parts_r.append(rows[:k][full])
     ids, first, count = np.unique(rows, return_index=True, return_counts=True)
