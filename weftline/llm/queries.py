@@ -52,7 +52,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
 
-    return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+    return near_duplicates(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
