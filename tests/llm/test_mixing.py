@@ -79,3 +79,13 @@ def test_empty_and_single_source(spark):
     docs = corpus(spark)
     assert mixing.mix(docs.where("false")).collect() == []
     assert mixing.mix(docs.where("source = 'a'")).count() == docs.where("source = 'a'").count()
+
+
+def test_inner_columns_leave_those_of_the_documents_alone(spark):
+    names = ["of", "doc", "block", "epochs", "repeats", "cut_block", "cut_doc", "copies", "_of"]
+    rows = [(i, f"word {i} " * (1 + i % 4), f"s{i % 3}", *[f"{n}{i}" for n in names]) for i in range(60)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    out = mixing.mix(docs, repeats=1.5)
+    assert out.columns[: len(docs.columns)] == docs.columns
+    got = out.collect()
+    assert {r.doc_id for r in got} == set(range(60)) and all(r[n] == f"{n}{r.doc_id}" for r in got for n in names)

@@ -58,8 +58,42 @@ def test_views_teach_each_other():
     strong = truth[:, None] * 4 + rng.normal(size=(3000, 3))
     weak = truth[:, None] * 1.5 + rng.normal(size=(3000, 2))
     few = slice(0, 24)
-    views = quality.co_train(strong[few], weak[few], truth[few], strong[24:], weak[24:])
+
+    def teach(models, r):
+        out = []
+        for v, x in ((0, strong[24:]), (1, weak[24:])):
+            p = models[v](x)
+            mine = np.flatnonzero((np.maximum(p, 1 - p) >= 0.95) & (np.arange(len(p)) % 5 == r))
+            out.append((strong[24:][mine], weak[24:][mine], (p[mine] > 0.5).astype(float)))
+        return out
+
+    views = quality.co_train(strong[few], weak[few], truth[few], teach)
     alone = linear.fit(weak[few], truth[few])
     right = lambda p: np.mean((p > 0.5) == truth[24:])
     assert right(views(strong[24:], weak[24:])[2]) > 0.95
     assert right(views.metadata(weak[24:])) >= right(alone(weak[24:]))
+
+
+def test_pseudo_labels_are_those_of_plain_choice():
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(500, quality.CONTENT + quality.METADATA))
+    y = (rows[:, 0] > 0).astype(float)
+    models = [linear.fit(rows[:, : quality.CONTENT], y), linear.fit(rows[:, quality.CONTENT :], y)]
+    order = rng.permutation(500)
+    got = quality.drawn(models, rows, order, 0.9, 20)
+    for (v, label), at in got.items():
+        p = models[v](rows[:, : quality.CONTENT] if v == 0 else rows[:, quality.CONTENT :])
+        want = sorted((i for i in range(500) if (p[i] if label else 1 - p[i]) >= 0.9), key=lambda i: order[i])[:20]
+        assert at.tolist() == want
+    assert len(got[0, 1]) == 20
+
+
+def test_columns_keep_their_values_and_a_repeated_id_is_one_sample(spark):
+    docs, labels = corpus(spark, 60)
+    own = {"extra": "seen", "lang": "_lang"}
+    wide = docs.withColumnsRenamed(own).withColumn("_text", docs["text"]).withColumn("_source", docs["source"])
+    out = quality.quality(wide.unionByName(wide.where("doc_id = 2")), labels)
+    assert {"seen", "_lang", "_text", "_source"} <= set(out.columns)
+    for r in out.collect():
+        assert r._text == r.text and r._source == r.source and r.seen in ("x", "y", None) and r._lang in ("en", None)
+    assert out.count() == docs.count() + 1

@@ -6,8 +6,8 @@ realised within a budget of tokens: each source runs through whole epochs, and o
 permutation of the source's blocks, and of the documents in each block, seeded by source and epoch.
 
 Selection in the last epoch is a cut in that order: whole blocks, and one block up to a document. The cut of a source
-comes from sums per block, and from rows of the one block where the budget ends, so a source of any size is handled
-in parallel, and each document is placed by its own row and its source's one row.
+comes from sums per block, then per stretch of the one block where the budget ends, then from the rows of the one stretch
+where it does (about a millionth of the source), so a source of any size is handled in parallel, and each document is placed by its own row and its source's one row.
 """
 
 from __future__ import annotations
@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import staging
+from . import textkernel as K
 
 BLOCKS = 1024
+#: Stretches of a block's order, a power of two.
+PARTS = 1024
 
 
 def words_of(text_col: str) -> Column:
@@ -92,11 +95,17 @@ def plan(rows: DataFrame, entropy: float | None = None, repeats: float | None =
     run = blocks.withColumn("before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
     edge = run.where((F.col("before") < F.col("left")) & (F.col("before") + F.col("tokens") >= F.col("left"))).select("source", "block", "epochs", F.col("place").alias("cut_block"), (F.col("left") - F.col("before")).alias("room"))
     inside = rows.join(edge, ["source", "block"]).withColumn("at", _doc_key("doc", "epochs", seed))
-    # Documents of the one block are summed by the leading bits of their order first, so equal rows meet as one.
-    steps = inside.groupBy("source", "cut_block", "room", "at").agg(F.sum("tokens").alias("tokens"))
+    # Within the one block the budget ends in one of PARTS stretches of the order, and only that is ordered by row.
+    inside = inside.withColumn("part", F.shiftright("at", 64 - int(math.log2(PARTS))))
+    parts = inside.groupBy("source", "cut_block", "room", "part").agg(F.sum("tokens").alias("tokens"))
+    order = Window.partitionBy("source").orderBy("part")
+    run = parts.withColumn("before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
+    edge = run.where("before < room AND before + tokens >= room").select("source", "part", (F.col("room") - F.col("before")).alias("left"))
+    # Equal rows meet as one.
+    steps = inside.join(edge, ["source", "part"]).groupBy("source", "cut_block", "left", "at").agg(F.sum("tokens").alias("tokens"))
     within = Window.partitionBy("source").orderBy("at")
     cut = steps.withColumn("before", F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
-    cut = cut.where("before < room").groupBy("source", "cut_block").agg(F.max("at").alias("cut_doc"))
+    cut = cut.where("before < left").groupBy("source", "cut_block").agg(F.max("at").alias("cut_doc"))
     return staging.put(out.join(cut, "source", "left"), "mixing-plan")
 
 
@@ -114,25 +123,27 @@ def mix(docs: DataFrame, entropy: float | None = None, repeats: float | None = 2
     mix_position in [0, 1) orders the mixture: sorted by it, every stretch holds the sources in about their weights.
     A source's copies are as even as can be: every document has the whole epochs, and those before the cut one more.
     Null and empty sources count as one source. Null texts have one token. Rows that repeat id and text are placed
-    alike. An empty table gives none. Columns of docs named like the added ones are replaced.
+    alike; ties of place don't matter, as equal places are equal rows. An empty table gives none. Columns of docs named
+    like the four added ones are replaced, all others are kept.
     """
     added = ["mix_epoch", "mix_weight", "mix_block", "mix_position"]
     base = docs.drop(*added)
     doc = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
-    own = {"_source": F.coalesce(F.col(source_col), F.lit("")), "_tokens": tokens if tokens is not None else words_of(text_col), "_doc": doc, "_block": F.pmod(doc, F.lit(BLOCKS)).cast("int")}
-    light = base.select(*[c.alias(n[1:]) for n, c in own.items()])
+    light = base.select(F.coalesce(F.col(source_col), F.lit("")).alias("source"), (tokens if tokens is not None else words_of(text_col)).alias("tokens"), doc.alias("doc"), F.pmod(doc, F.lit(BLOCKS)).cast("int").alias("block"))
     chosen = plan(staging.put(light, "mixing-rows"), entropy, repeats, budget, seed)
+    # Inner columns have names that docs has not.
+    source, doc_, block, epochs, again, cut_block, cut_doc, copies_ = (K.fresh([*docs.columns, *added], c) for c in ("of", "doc", "block", "epochs", "repeats", "cut_block", "cut_doc", "copies"))
     # One row per source; the optimizer broadcasts it where its size is below the session's limit.
-    placed = base.withColumns({n: c for n, c in own.items() if n != "_tokens"}).join(chosen.select(F.col("source").alias("_source"), F.col("epochs").alias("_epochs"), F.col("weight").alias("mix_weight"), F.col("repeats").alias("_repeats"), F.col("cut_block").alias("_cut_block"), F.col("cut_doc").alias("_cut_doc")), "_source")
-    place = _block_key("_source", "_epochs", "_block", seed)
-    in_last = (place < F.col("_cut_block")) | ((place == F.col("_cut_block")) & (_doc_key("_doc", "_epochs", seed) <= F.col("_cut_doc")))
-    copies = F.col("_epochs") + F.coalesce(in_last, F.lit(False)).cast("int")
-    out = placed.withColumn("_copies", copies).where("_copies > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    placed = base.withColumns({source: F.coalesce(F.col(source_col), F.lit("")), doc_: doc, block: F.pmod(doc, F.lit(BLOCKS)).cast("int")}).join(chosen.select(F.col("source").alias(source), F.col("epochs").alias(epochs), F.col("weight").alias("mix_weight"), F.col("repeats").alias(again), F.col("cut_block").alias(cut_block), F.col("cut_doc").alias(cut_doc)), source)
+    place = _block_key(source, epochs, block, seed)
+    in_last = (place < F.col(cut_block)) | ((place == F.col(cut_block)) & (_doc_key(doc_, epochs, seed) <= F.col(cut_doc)))
+    copies = F.col(epochs) + F.coalesce(in_last, F.lit(False)).cast("int")
+    out = placed.withColumn(copies_, copies).where(F.col(copies_) > 0).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col(copies_) - 1)))
     # The place in an epoch: the block's, then the document's within it, each by the epoch's own order.
     to_unit = lambda k: (F.shiftrightunsigned(k, 12).cast("double") / float(1 << 52))
-    spot = to_unit(_block_key("_source", "mix_epoch", "_block", seed).bitwiseXOR(F.lit(-(1 << 63))))
-    jitter = to_unit(_doc_key("_doc", "mix_epoch", seed)) / BLOCKS
+    spot = to_unit(_block_key(source, "mix_epoch", block, seed).bitwiseXOR(F.lit(-(1 << 63))))
+    jitter = to_unit(_doc_key(doc_, "mix_epoch", seed)) / BLOCKS
     within = F.least(spot + jitter * F.lit(1e-3), F.lit(math.nextafter(1.0, 0.0)))
-    length = F.greatest(F.col("_repeats"), F.col("mix_epoch") + 1)
-    out = out.withColumn("mix_block", F.col("_block")).withColumn("mix_position", (F.col("mix_epoch") + within) / length)
+    length = F.greatest(F.col(again), F.col("mix_epoch") + 1)
+    out = out.withColumn("mix_block", F.col(block)).withColumn("mix_position", (F.col("mix_epoch") + within) / length)
     return out.select(*base.columns, *added)

@@ -245,3 +245,21 @@ def _verdicts(sigs: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame
     mine = F.col("id").eqNullSafe(F.col("low.id"))
     grouped = join_heavy(sigs.where("class is not null"), low, ["class"])
     return grouped.select("id", "digest", "n_shingles", F.col("low.id").alias("component_id"), mine.alias("kept"), (mine & (F.col("digest") == F.col("low.digest"))).alias("stays")).unionByName(alone)
+
+
+def without_duplicates(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component of near_duplicates; texts without words all stay.
+
+    Of rows with the stay's id and text the one with the least digest of all its columns stays (none may be a map).
+    """
+    names = docs.columns
+    of, by = (K.fresh(names, c) for c in ("id", "digest"))
+    is_it = docs[id_col].eqNullSafe(F.col(of)) & (digest(text_col) == F.col(by))
+    key = [F.col("id").alias(of), F.col("digest").alias(by)]
+    rest = docs.join(verdicts.where("NOT stays").select(*key).distinct().hint("shuffle_hash"), is_it, "left_anti")
+    again = staging.put(verdicts.where("stays AND n_shingles > 0").groupBy("id", "digest").count().where("count > 1").select(*key), "repeated")
+    if again.isEmpty():
+        return rest
+    several = rest.join(again, is_it)
+    one = several.groupBy(of, by).agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias(K.fresh([of, by], "row")))
+    return rest.join(again, is_it, "left_anti").unionByName(one.select(f"{K.fresh([of, by], 'row')}.*"))
