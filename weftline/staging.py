@@ -19,21 +19,29 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of the cluster, or one of our own if the session has none."""
+    """The folder of the cluster, or one of our own if a local session has none."""
     if not (root := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="weftline-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
-def put(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write df to the shared folder and return a reader of it; ``_staged`` on the result holds the path."""
-    spark = df.sparkSession
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted at the end."""
     path = f"{shared_root(spark)}/weftline/{name}-{uuid.uuid4().hex}"
     if not _made:
         atexit.register(_clean)
     _made.append((spark, path))
+    return path
+
+
+def put(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write df to the shared folder and return a reader of it; ``_staged`` on the result holds the path."""
+    spark = df.sparkSession
+    path = folder(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
