@@ -51,3 +51,36 @@ def test_containment_survives_a_shift():
     x, y = fp.chunk_sets(pa.array([text, "some words before " + text]))
     assert fp.containment(x, y) > 0.98
     assert np.array_equal(fp.decoded(fp.encoded(x)), x)
+
+
+def test_cuts_do_not_depend_on_segments(monkeypatch):
+    rng = random.Random(4)
+    texts = pa.array(["".join(rng.choice("abcdefgh é") for _ in range(rng.randint(0, 900))) for _ in range(40)])
+    whole = fp.cuts(texts)
+    plain = []
+    for row, t in enumerate(texts.to_pylist()):  # the rule, byte by byte
+        raw, at = t.encode(), 0
+        while at < len(raw):
+            end = at
+            while end < len(raw):
+                end += 1
+                h = sum(int(fp._GEAR[raw[end - 1 - k]]) << k for k in range(min(16, end))) & 0xFFFFFFFF
+                n = end - at
+                if n == fp.MOST or (fp.LEAST <= n <= fp.NORMAL and not h & int(fp._HARD)) or (n > fp.NORMAL and not h & int(fp._EASY)):
+                    break
+            plain.append((row, at, end))
+            at = end
+    offset = np.cumsum([0, *(len(t.encode()) for t in texts.to_pylist())])
+    assert [(r, s - offset[r], e - offset[r]) for s, e, r in zip(*whole[1:])] == plain
+    monkeypatch.setattr(fp.K, "SEGMENT", 512)
+    fp.K._powers.cache_clear()
+    assert all(np.array_equal(x, y) for x, y in zip(whole, fp.cuts(texts)))
+    fp.K._powers.cache_clear()
+
+
+def test_an_id_that_repeats_often_and_a_long_text(spark):
+    rows = [(7, f"text {i:05d} of one id", None) for i in range(3000)] + [(3, "x" * 3_000_000 + " end", None), (9, "last", None)]
+    out = fp.edited_fingerprints(docs_of(spark, rows)).collect()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    edit = lambda t, n: sha(t[: len(t) - len(t) // 2] + n[: len(t) // 2])
+    assert sorted(r.edited_sha256 for r in out) == sorted([*(edit(t, rows[3000][1]) for i, t, _ in rows if i == 7), edit(rows[3000][1], "last"), edit("last", rows[0][1])])

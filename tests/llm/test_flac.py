@@ -1,9 +1,11 @@
+import hashlib
 import math
 import random
+import struct
 
 import pytest
 
-from weftline.llm import flac
+from weftline.llm import flac, flac_frames
 
 
 def payloads(seed):
@@ -50,3 +52,70 @@ def test_rows_and_blocks(spark):
     assert b"".join(bytes(r.pcm) for r in blocks) == flac.payload_of(rows[0][1].encode())
     assert [r.sample_offset for r in blocks] == [256 * i for i in range(len(blocks))]
     assert flac.media_features(docs.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("lpc", [None, (12, [7000, -3000, 512, -100, 9])])
+def test_an_independent_reader_understands_the_streams(lpc):
+    p = [x[:4096] for x in payloads(2)]
+    for data, want in zip(flac.encode(p, lpc), p):
+        assert flac_frames.payload(data, flac.Stream(data)) == want
+
+
+def test_reading_from_a_sample_on():
+    p = payloads(3)
+    media = flac.encode(p)
+    rng = random.Random(4)
+    for count in (1, 64, 700):
+        first = [rng.randrange(len(x)) for x in p]
+        assert flac.read_at(media, first, count) == [x[f : f + count] for x, f in zip(p, first)]
+
+
+def other_stream(samples, parts, blocks=(192,), rice=1, seek=False):
+    """A stream as another encoder may write it: order 2, several partitions of 5-bit parameters, one of them escaped."""
+    frames, at = b"", 0
+    for k, block in enumerate(blocks):
+        x = samples[at : at + block]
+        at += block
+        bits = ""
+        put = lambda v, n: format(v & ((1 << n) - 1), f"0{n}b") if n else ""
+        bits += "0" + put(10, 6) + "0" + put(x[0], 8) + put(x[1], 8) + put(1, 2) + put(parts, 4)
+        r = [x[i] - 2 * x[i - 1] + x[i - 2] for i in range(2, block)]
+        for j in range(1 << parts):
+            own, r = (r[: (block >> parts) - 2], r[(block >> parts) - 2 :]) if j == 0 else (r[: block >> parts], r[block >> parts :])
+            if j == 1:
+                bits += put(31, 5) + put(11, 5) + "".join(put(v, 11) for v in own)
+            else:
+                bits += put(rice, 5)
+                for v in own:
+                    u = v * 2 if v >= 0 else -v * 2 - 1
+                    bits += "0" * (u >> rice) + "1" + put(u, rice)
+        bits += "0" * (-len(bits) % 8)
+        head = bytes([0xFF, 0xF8, 0x70, 0x02, k]) + struct.pack(">H", block - 1)
+        head += bytes([flac_frames.checksum(head, 0x07, 8)])
+        body = head + int(bits, 2).to_bytes(len(bits) // 8, "big")
+        frames += body + struct.pack(">H", flac_frames.checksum(body, 0x8005, 16))
+    raw = bytes(v & 0xFF for v in samples[:at])
+    info = struct.pack(">HH", min(blocks), max(blocks)) + bytes(6) + ((8000 << 44) | (7 << 36) | at).to_bytes(8, "big") + hashlib.md5(raw).digest()
+    table = bytes([3]) + (18).to_bytes(3, "big") + struct.pack(">QQH", 0, 0, blocks[0]) if seek else b""
+    return b"fLaC" + bytes([0]) + len(info).to_bytes(3, "big") + info + table + bytes([0x84, 0, 0, 8]) + bytes(8) + frames, bytes((v + 128) & 0xFF for v in samples[:at])
+
+
+def test_streams_of_other_encoders():
+    rng = random.Random(5)
+    samples = [max(-128, min(127, int(60 * math.sin(i / 9)) + rng.randint(-3, 3))) for i in range(2000)]
+    for parts, blocks, seek in ((0, (192,), False), (2, (192, 576, 64), False), (3, (256,), True)):
+        data, want = other_stream(samples, parts, blocks, seek=seek)
+        mine = flac.encode([want])[0]
+        assert flac.decode([data, mine, data]) == [want] * 3
+        assert flac.read_at([data, mine], [70, 70], 64) == [want[70:134]] * 2
+        bad = bytearray(data)
+        bad[-9] ^= 1
+        with pytest.raises(ValueError):
+            flac.decode([bytes(bad)])
+
+
+def test_seek_points_beyond_one_table(monkeypatch):
+    monkeypatch.setattr(flac, "POINTS", 5)
+    p = [bytes(i % 251 for i in range(256 * 23 + 64)), b"a" * 64]
+    media = flac.encode(p)
+    assert flac.decode(media) == p and flac.read_at(media, [256 * 20 + 3, 0], 9) == [p[0][256 * 20 + 3 :][:9], b"a" * 9]

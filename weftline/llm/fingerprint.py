@@ -35,24 +35,32 @@ def _gear(raw: np.ndarray) -> np.ndarray:
 
 
 def cuts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all texts, and start, end and row of every chunk."""
+    """Bytes of all texts, and start, end and row of every chunk. Boundaries are looked for in one segment at a time."""
     raw, offsets = K.utf8(column)
-    h = _gear(raw)
-    hard, easy = (np.flatnonzero((h & m) == 0).tolist() for m in (_HARD, _EASY))
-    starts, ends, rows = [], [], []
-    hard.append(1 << 62)
-    easy.append(1 << 62)
-    for row, (at, stop) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-        while at < stop:
+    begins, stops = offsets[:-1].tolist(), offsets[1:].tolist()
+    out, row, at = [], 0, 0
+    for low in range(0, len(raw), K.SEGMENT):
+        high, base = min(len(raw), low + K.SEGMENT), max(0, low - 16)
+        h = _gear(raw[base : high + MOST])
+        hard, easy = ([*(np.flatnonzero((h & m) == 0) + base).tolist(), 1 << 62] for m in (_HARD, _EASY))
+        s, e, r = [], [], []
+        while row < len(stops):
+            if at >= stops[row]:
+                row += 1
+                at = begins[row] if row < len(stops) else at
+                continue
+            if at >= high:
+                break
             end = hard[bisect_left(hard, at + LEAST - 1)] + 1
             if end > at + NORMAL:
                 end = min(easy[bisect_left(easy, at + NORMAL)] + 1, at + MOST)
-            end = min(end, stop)
-            starts.append(at)
-            ends.append(end)
-            rows.append(row)
+            end = min(end, stops[row])
+            s.append(at)
+            e.append(end)
+            r.append(row)
             at = end
-    return raw, np.array(starts, np.int64), np.array(ends, np.int64), np.array(rows, np.int64)
+        out.append(np.array([s, e, r], np.int64))
+    return raw, *(np.hstack(out) if out else np.zeros((3, 0), np.int64))
 
 
 def chunk_sets(column: pa.Array) -> list[np.ndarray]:
@@ -92,14 +100,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _in_order(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
-    """(bucket, guard, id, text): ranges of ids; each ends with a guard, the first row of the range that comes next.
+    """(bucket, guard, id, text): ranges of ids; each begins with a guard, the last row of the range below.
 
-    Rows come sorted by range, then id from high to low, so the next document of a row is the next row. Ranges are
-    64 quantiles, each split evenly; null ids come last. Only one id of each range reaches the driver.
+    Rows come sorted by range, then id from low to high, so the next document of a row is that of the id before. The
+    lowest range begins with the highest id of all. Ranges are 64 quantiles, each split evenly; null ids come first.
+    Only one id of each range reaches the driver.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     marks = sorted(set(rows.select("id").where("id is not null").approxQuantile("id", [i / 64 for i in range(65)], 0.002)) or {0.0})
-    fine = max(1, -(-parts // max(1, len(marks) - 1)))
+    fine = max(1, -(-4 * parts // max(1, len(marks) - 1)))
     low = F.array(*[F.lit(int(m)) for m in marks])
     q = F.greatest(F.size(F.filter(low, lambda m: m <= F.col("id"))) - 1, F.lit(0))
     at, to = F.element_at(low, q + 1), F.coalesce(F.try_element_at(low, q + 2), F.element_at(low, -1) + 1)
@@ -111,13 +120,14 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFr
     above = {b: heads[(i + 1) % len(heads)][0] for i, (b, _) in enumerate(heads)} if heads else {}
     if not above:
         return rows.select("bucket", F.lit(False).alias("guard"), "id", "text")
+    # A few hundred rows for any size of documents: four ranges for each task.
     spark = docs.sparkSession
     table = F.broadcast(spark.createDataFrame([(b, i, above[b]) for b, i in heads], "bucket int, head long, above int"))
     led = rows.join(table, "bucket")
     homes = F.array(F.struct("bucket", F.lit(False).alias("guard")))
     both = F.concat(homes, F.array(F.struct(F.col("above").alias("bucket"), F.lit(True).alias("guard"))))
     out = led.select(F.explode(F.when(F.col("id").eqNullSafe(F.col("head")), both).otherwise(homes)).alias("h"), "id", "text").select("h.bucket", "h.guard", "id", "text")
-    return out.repartition(parts, "bucket").sortWithinPartitions("bucket", "guard", F.desc_nulls_last("id"), "text")
+    return out.repartitionByRange(parts, "bucket").sortWithinPartitions("bucket", F.desc("guard"), F.asc_nulls_first("id"), "text")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,7 +136,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     The edited form ends with the start of the next document instead of its own last half (code points). Documents
     follow each other by descending id, the first follows the last, and null ids come last. Rows that repeat an id
     have the same next document; as a next document such an id stands for its smallest text. A single document is
-    its own next. Null text is empty. No rows for an empty table.
+    its own next. Null text is empty. No rows for an empty table. Other columns are ignored. A task holds two texts
+    besides those that it works on, however often an id repeats; the rows of one id go to one task.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -137,8 +148,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for _, t, n in rows]
         own = chunk_sets(pa.array(texts, pa.large_string()))
         new = chunk_sets(pa.array(edited, pa.large_string()))
-        # The next document is mostly the next row here.
-        after = [own[i + 1] if i + 1 < len(rows) and rows[i + 1][1] == n else None for i, (_, _, n) in enumerate(rows)]
+        # The next document is mostly the row before.
+        after = [own[i - 1] if i and rows[i - 1][1] == n else None for i, (_, _, n) in enumerate(rows)]
         if missing := [i for i, x in enumerate(after) if x is None]:
             for i, x in zip(missing, chunk_sets(pa.array([rows[i][2] for i in missing], pa.large_string()))):
                 after[i] = x
@@ -149,16 +160,18 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         ], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready, held, size = [], [], 0  # held: rows of the last id, whose next document has not come yet
+        ready, size = [], 0
+        place, before, now = None, "", ""  # range and id of the last row; the smallest texts of the id before and of this one
         for b in K.slices(batches, "text"):
             for bucket, guard, i, text in zip(*(b.column(c).to_pylist() for c in ("bucket", "guard", "id", "text"))):
-                if held and (held[0][0] != bucket or guard or held[0][1] != i):
-                    ready += [(j, t, text) for _, j, t in held]
-                    size += sum(len(t) for _, _, t in held)
-                    held = []
-                if not guard:
-                    held.append((bucket, i, text))
-                if size > 1 << 19:
+                here = (bucket, guard, i)
+                if here != place:
+                    place, before, now = here, now, text
+                if guard:
+                    continue
+                ready.append((i, text, before))
+                size += len(text) + len(before)
+                if size > 1 << 20:
                     yield done(ready)
                     ready, size = [], 0
         if ready:

@@ -2,8 +2,10 @@
 
 Both directions work on all frames of a slice at once. The encoder takes for each frame the fixed linear predictor
 of order 0 to 4 with the smallest residual (or given coefficients), Rice-codes it, and falls back to verbatim or
-constant frames. Every frame has a seek point, so the decoder reads one sample of every frame per step. It checks the
-8-bit checksum of each header, the 16-bit checksum of each frame and the MD5 of the samples, and raises on a mismatch.
+constant frames. Every frame has a seek point, so the decoder reads one sample of every frame per step, and any samples
+can be read from the frames that hold them. It checks the 8-bit checksum of each header, the 16-bit checksum of each
+frame and the MD5 of the samples, and raises on a mismatch. Streams that other encoders wrote, without such seek points
+or with several Rice partitions, are read frame by frame (``flac_frames``).
 """
 
 from __future__ import annotations
@@ -18,10 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import flac_frames
 from . import textkernel as K
 
 BLOCK = 256
 RATE = 8000
+#: Seek points that one metadata block can hold, and the name of a block with more of them.
+POINTS, OWN = ((1 << 24) - 1) // 18, b"more"
 
 
 def _crc_table(poly: int, bits: int) -> np.ndarray:
@@ -187,37 +192,48 @@ def _file(payload: bytes, frames: bytes, offsets: np.ndarray, n: np.ndarray) ->
     info = struct.pack(">HH", BLOCK, BLOCK) + bytes(6) + ((RATE << 44) | (7 << 36) | len(payload)).to_bytes(8, "big") + hashlib.md5(samples).digest()
     points = np.zeros(len(offsets), np.dtype([("sample", ">u8"), ("offset", ">u8"), ("n", ">u2")]))
     points["sample"], points["offset"], points["n"] = np.arange(len(offsets)) * BLOCK, offsets, n
-    table = points.tobytes()
-    return b"fLaC" + bytes([0]) + len(info).to_bytes(3, "big") + info + bytes([0x83]) + len(table).to_bytes(3, "big") + table + frames
-
-
-def _open(stream: bytes) -> tuple[int, bytes, np.ndarray, int]:
-    """Number of samples, MD5, seek points, and where frames begin."""
-    if stream[:4] != b"fLaC":
-        raise ValueError("not a FLAC stream")
-    at, last, total, md5, points = 4, False, 0, b"", np.zeros(0)
-    while not last:
-        kind, size = stream[at] & 0x7F, int.from_bytes(stream[at + 1 : at + 4], "big")
-        last, at = bool(stream[at] & 0x80), at + 4
-        if kind == 0:
-            total, md5 = int.from_bytes(stream[at + 10 : at + 18], "big") & ((1 << 36) - 1), stream[at + 18 : at + 34]
-        elif kind == 3:
-            points = np.frombuffer(stream, np.dtype([("sample", ">u8"), ("offset", ">u8"), ("n", ">u2")]), size // 18, at)
-        at += size
-    return total, md5, points, at
-
-
-def decode(streams: list[bytes]) -> list[bytes]:
-    """The payloads. ValueError where a header, a frame or the samples of a stream fail their checksum."""
-    opened = [_open(s) for s in streams]
-    base = np.cumsum([0, *map(len, streams)])
-    start = np.concatenate([np.zeros(0, np.int64), *(o[2]["offset"].astype(np.int64) + o[3] + b for o, b in zip(opened, base) if len(o[2]))])
-    if not len(start):
-        return [b"" for _ in streams]
-    stop = np.concatenate([np.append(o[2]["offset"][1:].astype(np.int64) + o[3] + b, b + len(s)) for o, b, s in zip(opened, base, streams) if len(o[2])])
-    buf = np.frombuffer(b"".join(streams) + bytes(8), np.uint8)
+    blocks = [(0, info), (3, points[:POINTS].tobytes())]
+    # A seek table has a limit; the points beyond it follow in blocks of our own, which other decoders skip.
+    blocks += [(2, OWN + points[k : k + POINTS - 1].tobytes()) for k in range(POINTS, len(points), POINTS - 1)]
+    out = [bytes([kind | (0x80 if k == len(blocks) - 1 else 0)]) + len(data).to_bytes(3, "big") + data for k, (kind, data) in enumerate(blocks)]
+    return b"".join([b"fLaC", *out, frames])
+
+
+class Stream:
+    """What a stream's metadata say: number of samples, MD5, seek points, where frames begin; plain if it has a seek
+    point for every frame of BLOCK samples."""
+
+    def __init__(self, data: bytes):
+        if data[:4] != b"fLaC":
+            raise ValueError("not a FLAC stream")
+        kind_of = np.dtype([("sample", ">u8"), ("offset", ">u8"), ("n", ">u2")])
+        at, last, points = 4, False, []
+        self.total, self.md5, self.plain = 0, b"", False
+        while not last:
+            kind, size = data[at] & 0x7F, int.from_bytes(data[at + 1 : at + 4], "big")
+            last, at = bool(data[at] & 0x80), at + 4
+            if kind == 0:
+                self.block = struct.unpack(">HH", data[at : at + 4])
+                shape = int.from_bytes(data[at + 10 : at + 18], "big")
+                self.channels, self.bits, self.total, self.md5 = (shape >> 41 & 7) + 1, (shape >> 36 & 31) + 1, shape & ((1 << 36) - 1), data[at + 18 : at + 34]
+            elif kind == 3:
+                points.append(np.frombuffer(data, kind_of, size // 18, at))
+            elif kind == 2 and data[at : at + 4] == OWN:
+                points.append(np.frombuffer(data, kind_of, (size - 4) // 18, at + 4))
+            at += size
+        if (self.channels, self.bits) != (1, 8):
+            raise ValueError("one channel of 8-bit samples is expected")
+        self.frames = at
+        self.points = np.concatenate(points) if points else np.zeros(0, kind_of)
+        self.plain = self.block == (BLOCK, BLOCK) and len(self.points) == -(-self.total // BLOCK) and bool((self.points["sample"] == np.arange(len(self.points)) * BLOCK).all())
+
+
+def _read(buf: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The samples of the frames at these places, and how many each has, after both checksums."""
     if ((buf[start] != 0xFF) | (buf[start + 1] != 0xF8)).any():
         raise ValueError("no frame at a seek point")
+    if not np.isin(buf[start + 2] >> 4, (6, 8)).all():
+        raise OtherShape
     lead = buf[start + 4]
     number = np.select([lead < 0x80, lead < 0xE0, lead < 0xF0, lead < 0xF8, lead < 0xFC], [1, 2, 3, 4, 5], 6)
     after = start + 4 + number
@@ -227,18 +243,66 @@ def decode(streams: list[bytes]) -> list[bytes]:
         raise ValueError("a frame header fails its checksum")
     if (_crc(buf, start, stop - start - 2, _CRC16, 16) != (buf[stop - 2].astype(np.uint32) << 8 | buf[stop - 1])).any():
         raise ValueError("a frame fails its checksum")
-    x = _samples(buf, after + 1, n)
+    return _samples(buf, after + 1, n), n
+
+
+def _places(opened: list[Stream], streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All streams as one buffer, and where each of their frames starts and stops in it."""
+    base = np.cumsum([0, *map(len, streams)])
+    offset = [o.points["offset"].astype(np.int64) + o.frames + b for o, b in zip(opened, base)]
+    start = np.concatenate([np.zeros(0, np.int64), *offset])
+    stop = np.concatenate([np.zeros(0, np.int64), *(np.append(x[1:], b) for x, b in zip(offset, base[1:]) if len(x))])
+    return np.frombuffer(b"".join(streams) + bytes(8), np.uint8), start, stop
+
+
+def decode(streams: list[bytes]) -> list[bytes]:
+    """The payloads. ValueError where a header, a frame or the samples of a stream fail their checksum."""
+    opened = [Stream(s) for s in streams]
+    if not all(o.plain for o in opened):
+        return [decode([s])[0] if o.plain else flac_frames.payload(s, o) for o, s in zip(opened, streams)]
+    buf, start, stop = _places(opened, streams)
+    try:
+        x, n = _read(buf, start, stop) if len(start) else (np.zeros((0, BLOCK), np.int64), start)
+    except OtherShape:
+        return [flac_frames.payload(s, o) for o, s in zip(opened, streams)]
     flat = (x[np.arange(BLOCK) < n[:, None]] & 0xFF).astype(np.uint8)
     out, at = [], 0
-    for total, md5, *_ in opened:
-        part = flat[at : at + total]
-        if hashlib.md5(part.tobytes()).digest() != md5:
+    for o in opened:
+        part = flat[at : at + o.total]
+        if hashlib.md5(part.tobytes()).digest() != o.md5:
             raise ValueError("the samples of a stream fail their checksum")
         out.append((part + np.uint8(128)).tobytes())
-        at += total
+        at += o.total
+    return out
+
+
+def read_at(streams: list[bytes], first: list[int], count: int) -> list[bytes]:
+    """``count`` bytes of each payload from a sample on, or as many as there are, read from the frames that hold them."""
+    opened = [Stream(s) for s in streams]
+    if not all(o.plain for o in opened):
+        return [p[f : f + count] for p, f in zip(decode(streams), first)]
+    buf, start, stop = _places(opened, streams)
+    ahead = np.cumsum([0, *(len(o.points) for o in opened)])
+    low, high = [f // BLOCK for f in first], [-(-min(o.total, f + count) // BLOCK) for o, f in zip(opened, first)]
+    chosen = np.concatenate([np.zeros(0, np.int64), *(np.arange(a + l, a + max(l, h)) for a, l, h in zip(ahead, low, high))])
+    try:
+        x, n = _read(buf, start[chosen], stop[chosen]) if len(chosen) else (np.zeros((0, BLOCK), np.int64), chosen)
+    except OtherShape:
+        return [p[f : f + count] for p, f in zip(decode(streams), first)]
+    flat = ((x[np.arange(BLOCK) < n[:, None]] & 0xFF).astype(np.uint8) + np.uint8(128)).tobytes()
+    out, at = [], 0
+    for f, l, h in zip(first, low, high):
+        size = int(n[: max(0, h - l)].sum())
+        n = n[max(0, h - l) :]
+        out.append(flat[at : at + size][f - l * BLOCK :][:count])
+        at += size
     return out
 
 
+class OtherShape(Exception):
+    """A frame has a form that is not written here, such as several Rice partitions; frames are then read one by one."""
+
+
 def _samples(buf: np.ndarray, body: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The samples of every frame; body: the byte of its subframe header."""
     view = np.ndarray((len(buf) - 7,), ">u8", buf.data, strides=(1,))
@@ -275,7 +339,7 @@ def _samples(buf: np.ndarray, body: np.ndarray, n: np.ndarray) -> np.ndarray:
             coef[has, j] = c - (c >> (precision[has] - 1) << precision[has])
             pos[has] += precision[has]
     if field(pos, 6).any():
-        raise ValueError("only one Rice partition with 4-bit parameters is written here")
+        raise OtherShape
     rice = field(pos + 6, 4)
     pos = pos + 10
     left, low = (64 - rice).astype(np.uint64), (1 << rice) - 1
@@ -356,7 +420,7 @@ def pcm_blocks(media: DataFrame) -> DataFrame:
 
 
 def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each text stored as FLAC, read back from the stored bytes, and described.
+    """Each text stored as FLAC, read back from the stored bytes, and described; the tail is read through seek points.
 
     Equal texts give equal values; null counts as empty; an empty table gives no rows; ids and other columns don't
     matter. Memory follows the longest text.
@@ -368,9 +432,10 @@ def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             texts = [(t or "").encode() for t in b.column("text").to_pylist()]
             media = encode([payload_of(t) for t in texts])
             back = decode(media)
+            tail = read_at(media, [len(p) - 64 for p in back], 64)
             columns = {
                 "id": b.column("id"), "n_bytes": pa.array([len(t) for t in texts], pa.int64()), "payload_bytes": pa.array([len(p) for p in back], pa.int64()), "payload_sha256": pa.array([sha(p) for p in back], pa.string()),
-                "tail_crc32": pa.array([zlib.crc32(p[-64:]) for p in back], pa.int64()), "media_bytes": pa.array([len(m) for m in media], pa.int64()), "media_sha256": pa.array([sha(m) for m in media], pa.string()), "feature": pa.array([feature_of(p) for p in back], pa.string()),
+                "tail_crc32": pa.array([zlib.crc32(x) for x in tail], pa.int64()), "media_bytes": pa.array([len(m) for m in media], pa.int64()), "media_sha256": pa.array([sha(m) for m in media], pa.string()), "feature": pa.array([feature_of(p) for p in back], pa.string()),
             }
             yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 

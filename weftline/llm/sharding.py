@@ -1,7 +1,7 @@
 """Fixed virtual slots: records hash into thousands of slots, and a versioned map places slots on shards.
 
-A record's slot never changes. Version 1 of the map deals slots to shards in turn; a rebalance reads the bytes of
-every slot and writes the next version, in which some slots have another shard. Only the slot table (a parameter's
+A record's slot never changes. Version 1 of the map deals slots to shards in turn; a rebalance loads the last stored
+version, reads the bytes of every slot, and stores the next version, in which some slots have another shard. Only the slot table (a parameter's
 number of rows, whatever the data's size) reaches the driver. Everything that touches records is DataFrame code.
 """
 
@@ -18,10 +18,27 @@ def slot_of(columns: list[str], n_slots: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(n_slots)).cast("int")
 
 
-def map_table(spark: SparkSession, versions: dict[int, list[int]]) -> DataFrame:
-    """(version, vslot, shard) of every version; versions: the shard of each slot, in the order of slots."""
-    one = "SELECT {v} AS version, pos AS vslot, CAST(col AS INT) AS shard FROM (SELECT posexplode(split('{m}', ',')))"
-    return spark.sql(" UNION ALL ".join(one.format(v=v, m=",".join(map(str, m))) for v, m in versions.items()))
+def store_map(spark: SparkSession, path: str, version: int, shards: list[int]) -> None:
+    """Write one version (vslot, shard) of the map under path; a version is never written twice."""
+    table = spark.sql(f"SELECT pos AS vslot, CAST(col AS INT) AS shard FROM (SELECT posexplode(split('{','.join(map(str, shards))}', ',')))")
+    table.write.mode("errorifexists").parquet(f"{path}/version={version}")
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, list[int]] | None:
+    """A version of the map, the last one by default, and the shard of each slot; None if there is none yet."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+        return None
+    table = spark.read.parquet(path)
+    found = version if version is not None else table.agg(F.max("version")).first()[0]
+    return found, [r.shard for r in table.where(F.col("version") == found).orderBy("vslot").collect()]
+
+
+def edit_map(spark: SparkSession, path: str, moves: dict[int, int]) -> int:
+    """Store the next version, in which the given slots have the given shards."""
+    version, shards = load_map(spark, path)
+    store_map(spark, path, version + 1, [moves.get(s, at) for s, at in enumerate(shards)])
+    return version + 1
 
 
 def dealt(n_slots: int, n_shards: int) -> list[int]:
@@ -69,15 +86,20 @@ def _nearest(ordered: list[tuple[int, int]], value: int) -> int:
     return bisect_left(ordered, (value, -1))
 
 
-def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_shards: int = 16, n_slots: int = 4096) -> tuple[DataFrame, DataFrame]:
+def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_shards: int = 16, n_slots: int = 4096, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The placed rows, and the map with all its versions.
 
+    path: the folder of the map. Its last version is loaded and rebalanced for these rows; where that moves a slot, the
+    next version is stored. Without a map there, version 1 is dealt and stored first. None: a folder of this session.
+
     Rows: (id, size, text_crc32, vslot, shard, slot): slot is the row's place in its shard, gapless from 0. Shards get
     near equal bytes. The slot of a record comes from its id, size and checksum, so rows that repeat one id spread
     unless they are equal throughout; equal rows share a slot, and a slot is never split. Null text has size 1, as
-    has an empty one; a null id is an id like others. Empty table: no rows, and the dealt map twice.
+    has an empty one; a null id is an id like others. Ties of rebalancing go to the smallest slot. Empty table: no rows,
+    and the map as it was. Other columns are ignored.
     """
     spark = docs.sparkSession
+    path = path or staging.folder(spark, "slot-map")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     rows = staging.put(rows.withColumn("vslot", slot_of(["id", "size", "text_crc32"], n_slots)), "records")
@@ -85,15 +107,24 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_sha
     load, count = [0] * n_slots, [0] * n_slots
     for r in loads:
         load[r.vslot], count[r.vslot] = r.bytes, r.n
-    first = dealt(n_slots, n_shards)
-    now = rebalanced(first, load, n_shards)
-    versions = staging.put(map_table(spark, {1: first, 2: now}), "slot-map")
+    if (stored := load_map(spark, path)) is None:
+        stored = 1, dealt(n_slots, n_shards)
+        store_map(spark, path, *stored)
+    version, last = stored
+    if len(last) != n_slots or max(last) >= n_shards:
+        raise ValueError(f"the map at {path} has {len(last)} slots and {max(last) + 1} shards")
+    now = rebalanced(last, load, n_shards)
+    if now != last:
+        version += 1
+        store_map(spark, path, version, now)
+    versions = spark.read.parquet(path)
     start, base = [0] * n_shards, []
     for s, at in enumerate(now):
         base.append(start[at])
         start[at] += count[s]
     offsets = spark.sql(f"SELECT pos AS vslot, CAST(col AS BIGINT) AS base FROM (SELECT posexplode(split('{','.join(map(str, base))}', ',')))")
-    current = versions.where("version = 2").select("vslot", "shard").join(F.broadcast(offsets), "vslot")
+    # n_slots rows, a parameter's number.
+    current = versions.where(F.col("version") == version).select("vslot", "shard").join(F.broadcast(offsets), "vslot")
     place = F.row_number().over(Window.partitionBy("vslot").orderBy("id", "text_crc32", "size")) - 1
     placed = rows.withColumn("place", place).join(F.broadcast(current), "vslot")
     return placed.select("id", "size", "text_crc32", "vslot", "shard", (F.col("base") + F.col("place")).alias("slot")), versions
