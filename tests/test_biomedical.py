@@ -1,14 +1,19 @@
 from pyspark.sql import functions as F
 
+from weftline.functions import identifiers as I
+from weftline.operators import resolve
 from weftline.plans import biomedical as B
+from weftline.plans import mixed_graph as MG
+from weftline.sources import readers, registry
 
 
 def test_identifier_rules(spark):
-    rows = spark.createDataFrame([("SNOMED_12",), ("x12 ",), ("CHEBI: 7",), ("http://a",), ("a:b:c",)], "v string").select(B.id_parts("v").alias("p")).collect()
-    assert [tuple(r.p) if r.p else None for r in rows] == [("SNOMED", "12"), ("", "x12"), ("CHEBI", "7"), ("", "http://a"), None]
-    assert B.is_id_property("KEGG_id") and B.is_id_property("icd10") and not B.is_id_property("name_id")
-    bad = spark.createDataFrame([("-", "x"), ("Glycan", "metacyc.pathway"), ("PWY-1", "metacyc.pathway"), ("1e+5", "snomedct"), ("root", "chebi"), ("7", "chebi")], "l string, v string")
-    assert [r.b for r in bad.select(B.known_invalid(F.col("l"), F.col("v")).alias("b")).collect()] == [True, True, False, True, True, False]
+    rows = spark.createDataFrame([("SNOMED_12",), ("x12 ",), ("CHEBI: 7",), ("http://a",), ("a:b:c",), ("x_1",)], "v string").select(I.id_parts("v").alias("p")).collect()
+    assert [tuple(r.p) if r.p else None for r in rows] == [("SNOMED", "12"), ("", "x12"), ("CHEBI", "7"), ("", "http://a"), None, ("", "x_1")]
+    names = ["KEGG_id", "icd10", "name_id", "mesh_list", "mesh", "kegg_compound_ids", "omim_list", "chembl"]
+    assert [r.b for r in spark.createDataFrame([(n,) for n in names], "n string").select(I.is_id_property("n").alias("b")).collect()] == [True, True, False, True, False, True, True, False]
+    bad = spark.createDataFrame([("-", "x"), ("Glycan", "metacyc.pathway"), ("PWY-1", "metacyc.pathway"), ("12", "metacyc.pathway"), ("1e+5", "snomedct"), ("root", "chebi"), ("7", "chebi"), ("1,2", "dbsnp"), ("http://c", "clo")], "l string, v string")
+    assert [r.b for r in bad.select(I.known_invalid(F.col("l"), F.array("v")).alias("b")).collect()] == [True, True, False, True, True, True, False, True, True]
 
 
 def test_property_graph(spark):
@@ -69,3 +74,35 @@ def test_actionability(spark, tmp_path):
     pairs = spark.createDataFrame([("G", "12"), ("G", "1")], "gene string, disease_id string")
     a = spark.createDataFrame([("G", 1, "about OMIM:123"), ("G", 2, "about OMIM:12."), ("G", 3, "OMIM:12 too")], "gene string, position int, assertion string")
     assert {r.disease_id: r.assertion for r in B.assertion_of(pairs, a).collect()} == {"12": "about OMIM:12.", "1": None}
+
+
+def test_lines_of_a_mixed_graph(spark):
+    lines = ['{"type": "node", "id": "1", "labels": ["Complex"], "properties": {"identifier": "zz", "source": "Complex Portal", "complex_portal": "CPX-1", "name": "a &amp; b"}}', '{"type": "node", "id": 2, "labels": ["Organism"], "properties": {"identifier": 7, "source": "BV-BRC"}}']
+    lines += ['{"type": "node", "id": "3", "labels": ["Odd"], "properties": {"identifier": "x", "source": "s"}}', '{"type": "node", "id": "4", "labels": [], "properties": {}}', '{"type": "relationship", "id": "9", "label": "PARTOF_CpO", "start": {"id": "1"}, "end": {"id": "2"}, "properties": {"source": "Reactome", "score": 0.5}}']
+    g = MG.mixed_graph(MG.items_of(spark.createDataFrame([(x,) for x in lines], "value string")))
+    assert {(r.id, r.name, tuple(r.categories)) for r in g.nodes.collect()} == {("COMPLEXPORTAL:CPX-1", "a & b", ("biolink:MacromolecularComplex",)), ("BVBRC:7", None, ("biolink:OrganismalEntity",))}
+    (e,) = g.edges.collect()
+    assert (e.subject, e.predicate, e.object, e.primary_knowledge_source) == ("BVBRC:7", "biolink:has_part", "COMPLEXPORTAL:CPX-1", "infores:reactome")
+    assert e.attributes["infores:spoke"] == {"spoke_id": "9", "score": "0.5"}
+    assert sorted(r.reason for r in g.rejects.collect()) == ["no_label", "unmapped_id"]
+
+
+def test_levels_of_a_catalog_and_the_registry(spark, tmp_path):
+    path = tmp_path / "c.json"
+    path.write_text('{"information_resources": [{"id": "infores:a", "knowledge_level": "prediction"}, {"id": "infores:b", "agent_type": "manual_agent"}]}')
+    got = {tuple(r) for r in MG.infores_levels(spark.read.option("multiLine", True).json(str(path))).collect()}
+    assert got == {("infores:a", "prediction", "not_provided"), ("infores:b", "not_provided", "manual_agent")}
+    assert set(registry.NAMES) == set(registry.SPECS) | set(registry.PLANS) and len(registry.NAMES) == 16
+
+
+def test_repeated_data_items_of_a_molecule(spark):
+    text = "x\n> <NAME>\na\n\n> <NAME>\nb\n\n> <MASS>\n1.5\n\n"
+    (r,) = spark.createDataFrame([(text,)], "value string").select(readers.sdf_properties("value").alias("p")).collect()
+    assert r.p == {"NAME": "a", "MASS": "1.5"}
+
+
+def test_the_log_of_the_fold(spark):
+    rows = [("A:1", ["A:1", "X:1"], 0, 0, "a"), ("A:2", ["A:2", "X:2"], 0, 0, "b"), ("B:1", ["B:1", "X:1", "X:2"], 1, 1, "a"), ("B:9", ["B:9"], 1, 1, "b"), ("C:9", ["C:9"], 0, 0, "c")]
+    nodes = spark.createDataFrame([(i, [f"cat:{i}"], e, p, r, o) for i, e, p, r, o in rows], "id string, categories array<string>, equivalent_ids array<string>, phase int, source_rank int, ordinal string")
+    log = {tuple(r) for r in resolve.resolved(nodes).log.collect()}
+    assert log == {("one_to_many", "B:1", "A:1|A:2"), ("one_to_zero", "B:9", "")}

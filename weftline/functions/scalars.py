@@ -133,11 +133,6 @@ def to_float(c: str | Column) -> Column:
     return F.trim(col(c)).try_cast("double")
 
 
-def rounded(c: str | Column, places: int = 6) -> Column:
-    """Half-even, as on the printed decimal value."""
-    return F.bround(col(c), places)
-
-
 def variance_share(weight: str | Column, frequency: str | Column) -> Column:
     """w² · 2f(1 - f); an unknown or impossible frequency counts as a half."""
     f = col(frequency)

@@ -149,8 +149,8 @@ def levels(edges: DataFrame, most: int = 64) -> DataFrame:
     raise ValueError("a cycle, or a path of more steps than expected")
 
 
-def remapped(c: str, least: float, over: Window | None = None) -> Column:
-    """A value moved linearly into [least, 1]; all 1 where there is a single value."""
-    w = over or Window.partitionBy(F.lit(1))
-    low, high = F.min(c).over(w), F.max(c).over(w)
-    return F.when(high == low, F.lit(1.0)).otherwise(F.lit(least) + (F.col(c) - low) / (high - low) * (1 - least))
+def remapped(df: DataFrame, c: str, least: float, name: str) -> DataFrame:
+    """df with a column's values moved linearly into [least, 1]; all 1 where there is a single value."""
+    low, high = df.agg(F.min(c)).scalar(), df.agg(F.max(c)).scalar()
+    place = F.when(high == low, F.lit(1.0)).otherwise(F.lit(least) + (F.col(c) - low) / (high - low) * (1 - least))
+    return df.withColumn(name, place)

@@ -9,6 +9,7 @@ thing); ``largest_component`` tells before the fold, and ``fold_limit`` raises i
 from __future__ import annotations
 
 from collections import Counter
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -148,8 +149,21 @@ def fold_component(rows: pd.DataFrame, ancestors: dict[str, frozenset[str]] | No
     return fold
 
 
+class Resolved(NamedTuple):
+    nodes: DataFrame
+    #: (equiv_id, canonical_id)
+    index: DataFrame
+    #: (kind, id, others): nodes that met no canonical node, or that united several of them.
+    log: DataFrame
+
+
 def canonical_nodes(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | None = None, fold_limit: int = 100_000) -> tuple[DataFrame, DataFrame]:
-    """Canonical nodes, and the index (equiv_id, canonical_id).
+    """Canonical nodes, and the index (equiv_id, canonical_id)."""
+    return resolved(nodes, ancestors, fold_limit)[:2]
+
+
+def resolved(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | None = None, fold_limit: int = 100_000) -> Resolved:
+    """Canonical nodes, the index of equivalent ids, and the log of the fold.
 
     nodes: scalar and list columns of nodes, phase, source_rank and ordinal; attributes, if there, are merged by
     source and property in a plan of their own.
@@ -160,23 +174,27 @@ def canonical_nodes(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | Non
         raise ValueError(f"a component of {n} nodes; the limit is {fold_limit}")
     sizes = nodes.join(comp.dropDuplicates(["id"]), "id").groupBy("component").count()
     placed = nodes.drop("attributes").join(comp.dropDuplicates(["id"]), "id").join(sizes, "component")
-    alone = placed.where("count = 1").select(*columns, F.lit(None).cast("array<string>").alias("indexed"))
+    entry = "array<struct<kind:string,id:string,others:string>>"
+    alone_log = F.when(F.col("phase") > 0, F.array(F.struct(F.lit("one_to_zero").alias("kind"), F.col("id").alias("id"), F.lit("").alias("others")))).cast(entry)
+    alone = placed.where("count = 1").select(*columns, F.lit(None).cast("array<string>").alias("indexed"), alone_log.alias("log"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         fold = fold_component(rows, ancestors)
         held: dict[str, list[str]] = {}
         for e, c in fold.index.items():
             held.setdefault(c, []).append(e)
-        return pd.DataFrame([{**n, "indexed": sorted(held.get(i, []))} for i, n in fold.canonical.items()], columns=[*columns, "indexed"])
+        log = [{"kind": k, "id": i, "others": o} for k, i, o in fold.log]
+        return pd.DataFrame([{**n, "indexed": sorted(held.get(i, [])), "log": None if k else log} for k, (i, n) in enumerate(fold.canonical.items())], columns=[*columns, "indexed", "log"])
 
     folded = placed.where("count > 1").groupBy("component").applyInPandas(run, alone.schema)
     out = alone.unionByName(folded)
     index = out.select(F.explode(F.coalesce("indexed", "equivalent_ids")).alias("equiv_id"), F.col("id").alias("canonical_id"))
-    out = out.drop("indexed")
+    log = out.select(F.explode("log").alias("l")).select("l.*")
+    out = out.drop("indexed", "log")
     if "attributes" in nodes.columns:
         owned = nodes.select(F.col("id").alias("equiv_id"), "attributes").join(index, "equiv_id")
         out = out.join(merge_attributes(owned, ["canonical_id"]).withColumnRenamed("canonical_id", "id"), "id", "left")
-    return out, index
+    return Resolved(out, index, log)
 
 
 def overlapping_ids(nodes: DataFrame) -> DataFrame:

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..functions import scalars as X
 from ..functions import schema as S
@@ -30,44 +28,6 @@ def _edges(df: DataFrame, source: str, **columns: Column) -> DataFrame:
     return df.select(*[(own[f.name] if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in S.EDGE.fields])
 
 
-# Identifier rules of a mixed property graph
-
-# Prefixes that are parted by an underscore, vocabularies whose id properties are trusted, and
-# property names that are ids by themselves.
-UNDERSCORED = ["SNOMED_", "CLO_", "ENVO_", "CHR_", "HPS_", "CVCL_", "BFO_"]
-TRUSTED_WORDS = {"chembl", "drugbank", "chebi", "pubchem", "kegg", "mesh", "ensembl", "omim"}
-TRUSTED_NAMES = {"snomedct", "icd10", "icd9", "accession"}
-
-
-def id_parts(c: str | Column) -> Column:
-    """Prefix and local part of an identifier; no prefix is "". Null for one with more than one colon."""
-    c = X.col(c)
-    colons = F.length(c) - F.length(F.replace(c, F.lit(":"), F.lit("")))
-    known = F.lit(False)
-    for p in UNDERSCORED:
-        known = known | F.startswith(c, F.lit(p))
-    plain = F.struct(F.lit("").alias("prefix"), F.trim(c).alias("local"))
-    at = lambda sep: F.struct(F.trim(F.substring_index(c, sep, 1)).alias("prefix"), F.trim(F.substring(c, F.instr(c, sep) + 1, F.length(c))).alias("local"))
-    return F.when((colons == 0) & known, at("_")).when(colons == 0, plain).when((colons == 1) & F.startswith(c, F.lit("http")), plain).when(colons == 1, at(":"))
-
-
-def is_id_property(name: str) -> bool:
-    low = name.lower()
-    return low in TRUSTED_NAMES or (low.split("_")[0] in TRUSTED_WORDS and ("id" in low or "_list" in low))
-
-
-def known_invalid(local: Column, vocabulary: Column) -> Column:
-    """Strings in the place of ids that are none, by vocabulary."""
-    return (
-        F.trim(local).isin("-", "–", "—")
-        | ((vocabulary == "metacyc.pathway") & (local != F.upper(local)))
-        | ((vocabulary == "snomedct") & F.contains(local, F.lit("e+")))
-        | ((vocabulary == "dbsnp") & F.contains(local, F.lit(",")))
-        | (vocabulary.isin("react", "chebi") & (local == "root"))
-        | ((vocabulary == "clo") & F.startswith(local, F.lit("http://")))
-    )
-
-
 def property_graph(nodes: DataFrame, relations: DataFrame, categories: DataFrame, predicates: DataFrame, sources: DataFrame, provider: str, default_category: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Nodes, edges and rejects of a property graph with numeric ids.
 
@@ -75,15 +35,15 @@ def property_graph(nodes: DataFrame, relations: DataFrame, categories: DataFrame
     (label, category). predicates: (label, predicate, flip): a label as a whole goes before the label without its
     last part. sources: (source, infores), by name in lower case without spaces.
     """
-    typed = nodes.withColumn("label", F.get("labels", F.lit(0))).join(F.broadcast(categories), "label", "left")
+    typed = nodes.withColumn("label", F.get("labels", F.lit(0))).join(categories, "label", "left")
     typed = typed.withColumn("category", F.coalesce("category", F.lit(default_category)))
     good = typed.where("category IS NOT NULL AND identifier IS NOT NULL")
     out = _nodes(good, provider, id=F.col("identifier"), name=X.clean_text("name"), categories=F.array("category"), equivalent_ids=X.union_lists("equivalents", F.array("identifier")))
     ids = good.select("id", "identifier")
     shorter = F.regexp_replace("label", "_[^_]*$", "")
     short = predicates.select(F.col("label").alias("short"), F.col("predicate").alias("p2"), F.col("flip").alias("f2"))
-    told = relations.withColumn("short", shorter).join(F.broadcast(predicates), "label", "left").join(F.broadcast(short), "short", "left")
-    told = told.withColumn("key", F.lower(F.replace("source", F.lit(" "), F.lit("")))).join(F.broadcast(sources.select(F.col("source").alias("key"), "infores")), "key", "left")
+    told = relations.withColumn("short", shorter).join(predicates, "label", "left").join(short, "short", "left")
+    told = told.withColumn("key", F.lower(F.replace("source", F.lit(" "), F.lit("")))).join(sources.select(F.col("source").alias("key"), "infores"), "key", "left")
     told = told.join(ids.select(F.col("id").alias("start"), F.col("identifier").alias("s")), "start", "left").join(ids.select(F.col("id").alias("end"), F.col("identifier").alias("o")), "end", "left")
     told = told.withColumns({"p": F.coalesce("predicate", "p2"), "f": F.coalesce("flip", "f2", F.lit(False))})
     reason = F.when(F.col("p").isNull(), "unmapped_label").when(F.col("infores").isNull(), "unmapped_source").when(F.col("s").isNull() | F.col("o").isNull(), "unknown_endpoint")
@@ -222,6 +182,35 @@ def sign_predicate(value: str | Column, p_value: str | Column, below: float = 0.
     return F.when((p < below) & (v > 0), up).when((p < below) & (v < 0), down)
 
 
+# Categories, predicate and texts of scores.
+SCORE_CATEGORY, TRAIT_CATEGORY, SCORE_TRAIT = "biolink:InformationContentEntity", "biolink:DiseaseOrPhenotypicFeature", "biolink:related_to"
+
+
+def score_graph(scores: DataFrame, traits: DataFrame, provider: str, prefix: str = "PGS", category: str = SCORE_CATEGORY, trait_category: str = TRAIT_CATEGORY, predicate: str = SCORE_TRAIT) -> tuple[DataFrame, DataFrame]:
+    """Nodes of scores and of the traits they predict, and an edge for each of their pairs.
+
+    scores: (score, name, pmid, reported_trait, mapped_trait_label) and other columns, which become attributes where
+    they are not empty. traits: (score, trait, label, evaluations); a trait's name is its smallest label.
+    """
+    core = {"score", "name", "pmid"}
+    label = F.coalesce(F.nullif("reported_trait", F.lit("")), F.nullif("mapped_trait_label", F.lit("")))
+    own = spec.property_map(scores, [c for c in scores.columns if c not in core], {})
+    accession = F.create_map(F.lit("pgs_catalog_id"), F.to_json(F.array("score")))
+    accession = F.transform_values(accession, lambda _, v: F.substring(v, F.lit(2), F.length(v) - 2))
+    curie = F.concat(F.lit(f"{prefix}:"), "score")
+    given = lambda c: ~X.is_empty_string(c)
+    nodes = _nodes(
+        scores, provider, id=curie, name=F.coalesce(F.concat(label, F.lit(" PGS")), F.col("name")), categories=F.array(F.lit(category)), equivalent_ids=F.array(curie), synonyms=F.when(given("name"), F.array("name")),
+        description=F.when(F.nullif("reported_trait", F.lit("")).isNotNull(), F.concat(F.lit("Polygenic score for "), "reported_trait")), publications=F.when(given("pmid"), F.array(F.concat(F.lit("PMID:"), "pmid"))),
+        attributes=F.create_map(F.lit(provider), F.map_concat(accession, F.coalesce(own, F.create_map().cast(S.MAP)))),
+    )
+    stubs = traits.groupBy("trait").agg(F.min("label").alias("label"))
+    known = _nodes(stubs, provider, id=F.col("trait"), name=F.col("label"), categories=F.array(F.lit(trait_category)), equivalent_ids=F.array("trait"))
+    told = F.when(F.col("evaluations") > 0, F.create_map(F.lit(provider), F.create_map(F.lit("num_evaluation_sample_sets"), F.col("evaluations").cast("string"))))
+    edges = _edges(traits.join(scores.select("score"), "score", "left_semi"), provider, subject=curie, object=F.col("trait"), predicate=F.lit(predicate), knowledge_level=F.lit("statistical_association"), agent_type=F.lit("data_analysis_pipeline"), attributes=told)
+    return nodes.unionByName(known), edges
+
+
 # Actionability records
 
 
@@ -241,10 +230,3 @@ def assertion_of(pairs: DataFrame, assertions: DataFrame) -> DataFrame:
     met = pairs.join(assertions, "gene").where(F.rlike("assertion", whole))
     first = A.first_per_key(met, ["gene", "disease_id"], [F.col("position")]).select("gene", "disease_id", "assertion")
     return pairs.join(first, ["gene", "disease_id"], "left")
-
-
-def first_rows(df: DataFrame, key: list[str]) -> DataFrame:
-    """Of rows with equal keys, the one that is smallest by all its columns; a stable stand-in for file order."""
-    rest = [c for c in df.columns if c not in key and not isinstance(df.schema[c].dataType, T.MapType)]
-    w = Window.partitionBy(*key).orderBy(*rest) if rest else Window.partitionBy(*key).orderBy(*key)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

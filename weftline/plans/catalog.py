@@ -297,18 +297,6 @@ def override_map(spark, d):
     return toy.table(spark, d, "orders").select("o_orderkey", X.mapped("o_orderstatus", {"O": "open", "F": "filled"}).alias("status"), pair.alias("priority"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size IN (3, 4) THEN 'Information' WHEN p_type IN ('PROMO', 'SMALL') THEN 'Information' WHEN p_type IN ('STANDARD', 'LARGE', 'MEDIUM') THEN 'Measurement' ELSE 'Thing' END AS category FROM part")
-def category_case(spark, d):
-    c = F.when(F.col("p_size").isin(3, 4), "Information").when(F.col("p_type").isin("PROMO", "SMALL"), "Information").when(F.col("p_type").isin("STANDARD", "LARGE", "MEDIUM"), "Measurement").otherwise("Thing")
-    return toy.table(spark, d, "part").select("p_partkey", c.alias("category"))
-
-
-@query("SELECT CASE WHEN v > 0 THEN 'positive' ELSE 'negative' END AS predicate, count(*) AS n FROM (SELECT TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) AS v, (c_custkey % 100) / 1000.0 AS p FROM customer) WHERE p < 0.05 AND v <> 0 GROUP BY 1")
-def significance_sign(spark, d):
-    c = toy.table(spark, d, "customer").select(X.to_float(F.col("c_acctbal").cast("string")).alias("v"), X.to_float(((F.col("c_custkey") % 100) / 1000.0).cast("string")).alias("p"))
-    return c.where((F.col("p") < 0.05) & (F.col("v") != 0)).groupBy(F.when(F.signum("v") > 0, "positive").otherwise("negative").alias("predicate")).agg(F.count("*").alias("n"))
-
-
 @query(GRAPH + "SELECT subject, object, prim AS primary_knowledge_source, 'infores:toy' AS aggregator, 'infores:default' AS supporting, CASE WHEN kl = 'not_provided' THEN 'not_provided' ELSE kl END AS knowledge_level, CASE WHEN prim = 'src:1' THEN NULL ELSE pub END AS publications FROM edges WHERE predicate = 'rel:supplied_by' AND prim <> 'src:none'")
 def harmonized_edges(spark, d):
     raw = toy.supplied(spark, d).select("subject", "object", "predicate", "primary_knowledge_source", F.replace("knowledge_level", F.lit("not_provided"), F.lit("unspecified")).alias("knowledge_level"), "agent_type", "publications")
@@ -388,7 +376,7 @@ def variance_rank(spark, d):
 @query("SELECT p_type, n, round(CASE WHEN hi = lo THEN 1.0 ELSE 0.25 + (n - lo) / (hi - lo) * 0.75 END, 6) AS weight FROM (SELECT p_type, CAST(count(*) AS DOUBLE) AS n, CAST(min(count(*)) OVER () AS DOUBLE) AS lo, CAST(max(count(*)) OVER () AS DOUBLE) AS hi FROM part GROUP BY 1)")
 def weight_remap(spark, d):
     c = toy.table(spark, d, "part").groupBy("p_type").agg(F.count("*").cast("double").alias("n"))
-    return c.select("p_type", "n", F.round(A.remapped("n", 0.25), 6).alias("weight"))
+    return A.remapped(c, "n", 0.25, "weight").withColumn("weight", F.round("weight", 6))
 
 
 @query("SELECT l_suppkey, l_linenumber, n FROM (SELECT l_suppkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL) ORDER BY n DESC, l_suppkey, l_linenumber LIMIT 20")
@@ -508,11 +496,6 @@ def compare_shared(spark, d):
     return A.held_by(long, ["user_id", "kind"]).where(F.size("graphs") == all_graphs).select("user_id", "kind")
 
 
-@query(LONG + "SELECT user_id, kind, min(graph) AS graph FROM long GROUP BY ALL HAVING count(DISTINCT graph) = 1")
-def compare_unique(spark, d):
-    return A.held_by(_long(spark, d), ["user_id", "kind"]).where(F.size("graphs") == 1).select("user_id", "kind", F.element_at("graphs", 1).alias("graph"))
-
-
 @query(LONG + ", h AS (SELECT user_id, kind, array_to_string(list_sort(list(DISTINCT graph)), ',') AS graphs FROM long GROUP BY ALL) SELECT graphs, count(*) AS keys FROM h GROUP BY 1")
 def compare_pairs(spark, d):
     return A.held_by(_long(spark, d), ["user_id", "kind"]).groupBy(F.array_join("graphs", ",").alias("graphs")).agg(F.count("*").alias("keys"))
@@ -591,8 +574,8 @@ def html_text_length(spark, d):
 
 @query("SELECT conv_id, role, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY length(text) DESC, turn) AS place FROM conversations) WHERE place = 1")
 def longest_text(spark, d):
-    lists = toy.table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.max_by("text", F.struct(F.length("text"), (-F.col("turn")))).alias("text"))
-    return lists
+    said = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"])
+    return toy.table(spark, d, "conversations").groupBy("conv_id", "role").agg(X.longest(said).alias("text"))
 
 
 @query("SELECT event_type, k AS property, count(*) AS rows, arg_min(json_extract_string(props, '$.' || k), event_id) AS example FROM (SELECT *, unnest(json_keys(props)) AS k FROM events) GROUP BY ALL")
@@ -617,3 +600,6 @@ def curie_repair(spark, d):
 @query("SELECT p_partkey, CASE WHEN v >= 1e6 THEN printf('%.1f', v / 1e6) || 'M' WHEN v >= 1e3 THEN printf('%.0f', v / 1e3) || 'K' ELSE CAST(v AS VARCHAR) END AS human FROM (SELECT p_partkey, p_partkey * 977 AS v FROM part)")
 def human_counts(spark, d):
     return toy.table(spark, d, "part").select("p_partkey", X.human_count(F.col("p_partkey") * 977).alias("human"))
+
+
+from . import source_queries  # noqa: E402, F401  registers its queries

@@ -92,12 +92,13 @@ def sdf_molecules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sdf_properties(c: str | Column) -> Column:
-    """The data items of an SDF record: a line ``> <NAME>`` and the value up to a blank line."""
+    """The data items of an SDF record: a line ``> <NAME>`` and the value up to a blank line; of a name that repeats, the first."""
     c = F.col(c) if isinstance(c, str) else c
     item = r"(?m)^>[^<\n]*<([^>\n]+)>[^\n]*\r?\n((?:[^\r\n]+\r?\n?)*)"
     names, values = F.regexp_extract_all(c, F.lit(item), F.lit(1)), F.regexp_extract_all(c, F.lit(item), F.lit(2))
     pairs = F.arrays_zip(names.alias("k"), F.transform(values, lambda v: F.regexp_replace(v, r"[\r\n]+$", "")).alias("v"))
-    return F.map_from_entries(F.array_distinct(F.transform(pairs, lambda p: F.struct(p["k"], p["v"]))))
+    first = F.filter(F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), p["v"].alias("v"), (F.array_position(names, p["k"]) == i + 1).alias("is"))), lambda p: p["is"])
+    return F.map_from_entries(F.transform(first, lambda p: F.struct(p["k"], p["v"])))
 
 
 def spreadsheet(spark: SparkSession, path: str, sheet: str, columns: dict[int, str]) -> DataFrame:

@@ -33,7 +33,18 @@ class SourceSpec:
     formula: str | None = None
     mass: str | None = None
     node_publications: str | None = None
+    #: Columns that are dropped before anything else, of nodes and of edges.
     ignored: tuple[str, ...] = ()
+    ignored_edges: tuple[str, ...] = ()
+    edge_publications: str = "publications"
+    publications_info: str = "publications_info"
+    #: The separator of lists in text columns, and the columns that hold it as a letter.
+    delimiter: str | None = None
+    whole: tuple[str, ...] = ()
+    #: Where it is not "infores:" and the name.
+    source: str | None = None
+    #: Whether the source repeats what others assert, so that it stands on edges as their aggregator.
+    aggregates: bool = True
     category_overrides: dict[str, str] = field(default_factory=dict)
     predicate_overrides: dict[str, str] = field(default_factory=dict)
     #: By (agent type, primary source): the agent type to use.
@@ -50,7 +61,7 @@ class SourceSpec:
 
     @property
     def aggregator(self) -> str:
-        return f"infores:{self.name}"
+        return self.source or f"infores:{self.name}"
 
 
 def as_list(df: DataFrame, c: str | None) -> Column:
@@ -97,9 +108,29 @@ def split_columns(df: DataFrame, core: set[str], ignored: tuple[str, ...], renam
     return [c for c in rest if not is_qualifier(c)], [c for c in rest if is_qualifier(c)]
 
 
+def _split(spec: SourceSpec, df: DataFrame) -> DataFrame:
+    """Text columns that hold the separator of the source as lists; a text without it is a list of one."""
+    if not spec.delimiter:
+        return df
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in (*spec.whole, spec.id, spec.node_name, spec.description, spec.negated, "subject", "object", "predicate")]
+    return df.withColumns({c: F.split(F.col(c), f"\\Q{spec.delimiter}\\E") for c in texts})
+
+
+def unreliable_counts(spec: SourceSpec, df: DataFrame) -> DataFrame:
+    """(primary, edges): how many edges lose their publications because of their primary source."""
+    primary = F.explode(as_list(df, "primary_knowledge_source")).alias("primary")
+    return df.where(F.size(as_list(df, spec.edge_publications)) > 0).select(primary).where(F.col("primary").isin(*spec.unreliable) if spec.unreliable else F.lit(False)).groupBy("primary").agg(F.count("*").alias("edges"))
+
+
+def unknown_roles(df: DataFrame) -> DataFrame:
+    """(role, entries): entries of roled sources whose role is none of the three, which take no part."""
+    roles = df.select(F.explode("sources").alias("s")).select(F.col("s.resource_role").alias("role"))
+    return roles.where("role IS NULL OR role NOT IN ('primary_knowledge_source', 'aggregator_knowledge_source', 'supporting_data_source')").groupBy("role").agg(F.count("*").alias("entries"))
+
+
 def nodes(spec: SourceSpec, df: DataFrame) -> DataFrame:
     """The node table of a source. Rows without an id or categories are errors at run time."""
-    df = df.drop(*spec.ignored)
+    df = _split(spec, df.drop(*spec.ignored))
     core = {spec.id, spec.node_name, spec.category, spec.equivalents, *spec.synonyms, *spec.taxa, spec.url, spec.description, spec.formula, spec.mass, spec.node_publications}
     attributes, _ = split_columns(df, core, spec.ignored, spec.renamed)
     name = X.clean_text(as_text(df, spec.node_name))
@@ -151,8 +182,9 @@ def edges(spec: SourceSpec, df: DataFrame) -> DataFrame:
         flag = F.coalesce(F.col(spec.negated), F.lit(False)) if isinstance(kind, T.BooleanType) else X.truthy_string(F.col(spec.negated).cast("string"))
         df = df.where(~flag)
     flat = as_list(df, "primary_knowledge_source")
-    df = df.where(~excluded(flat, spec)).drop(*spec.ignored)
-    attributes, qualifiers = split_columns(df, EDGE_CORE | {spec.negated}, spec.ignored, spec.renamed)
+    df = _split(spec, df.where(~excluded(flat, spec)).drop(*spec.ignored_edges))
+    core = (EDGE_CORE - {"publications", "publications_info"}) | {spec.negated, spec.edge_publications, spec.publications_info}
+    attributes, qualifiers = split_columns(df, core, spec.ignored_edges, spec.renamed)
     from_ = provenance(df, spec)
     primaries = F.array_distinct(from_["primaries"])
     primary, more = X.first_and_rest(primaries)
@@ -161,14 +193,16 @@ def edges(spec: SourceSpec, df: DataFrame) -> DataFrame:
     if spec.default_supporting:
         supporting = F.when(F.size(supporting) > 0, supporting).otherwise(F.array(*map(F.lit, spec.default_supporting)))
     types = as_list(df, "agent_type")
-    primary = X.coalesce_text(primary, default)
+    # A column of its own: inside a lambda the name of the result would be taken for the column it is made from.
+    df = df.withColumn("_primary", X.coalesce_text(primary, default))
+    primary = F.col("_primary")
     if spec.agent_overrides:
         table = F.create_map(*[x for (a, p), v in spec.agent_overrides.items() for x in (F.lit(f"{a}\t{p}"), F.lit(v))])
         types = F.array_distinct(F.transform(types, lambda a: F.coalesce(F.try_element_at(table, F.concat_ws("\t", a, primary)), a)))
     agent, agents = X.first_and_rest(types)
     cleaned = lambda c: F.when(F.coalesce(c, F.lit(S.UNSPECIFIED)) == S.UNSPECIFIED, S.NOT_PROVIDED).otherwise(c)
-    publications = X.absent_if_empty(as_list(df, "publications"))
-    info = json_value(df, "publications_info") if "publications_info" in df.columns else F.lit(None).cast("string")
+    publications = X.absent_if_empty(as_list(df, spec.edge_publications))
+    info = json_value(df, spec.publications_info) if spec.publications_info in df.columns else F.lit(None).cast("string")
     distrust = F.coalesce(primary.isin(*spec.unreliable), F.lit(False)) if spec.unreliable else F.lit(False)
     own = property_map(df, attributes, spec.renamed)
     extra = F.when(F.size(agents) > 0, F.create_map(F.lit("additional_agent_types"), F.to_json(agents)))
@@ -176,9 +210,10 @@ def edges(spec: SourceSpec, df: DataFrame) -> DataFrame:
     own = F.when(own.isNull() & extra.isNull(), F.lit(None)).otherwise(F.map_concat(F.coalesce(own, empty), F.coalesce(extra, empty)))
     quals = property_map(df, qualifiers, spec.renamed, lower=True)
     plain = F.transform_values(quals, lambda _, v: F.coalesce(F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v"), v))
+    must = lambda c, name: F.coalesce(F.nullif(c, F.lit("")), F.raise_error(F.lit(f"{spec.name}: an edge without {name}"))).alias(name)
     return df.select(
-        X.single_prefix("subject").alias("subject"), X.single_prefix("object").alias("object"), X.mapped(X.single_prefix("predicate"), spec.predicate_overrides).alias("predicate"), plain.alias("qualifiers"),
-        primary.alias("primary_knowledge_source"), X.union_lists(from_["aggregators"], F.array(F.lit(spec.aggregator))).alias("aggregator_knowledge_source"), X.absent_if_empty(supporting).alias("supporting_data_sources"),
+        must(X.single_prefix("subject"), "subject"), must(X.single_prefix("object"), "object"), must(X.mapped(X.single_prefix("predicate"), spec.predicate_overrides), "predicate"), plain.alias("qualifiers"),
+        must(primary, "primary_knowledge_source"), X.union_lists(from_["aggregators"], *([F.array(F.lit(spec.aggregator))] if spec.aggregates else [])).alias("aggregator_knowledge_source"), X.absent_if_empty(supporting).alias("supporting_data_sources"),
         cleaned(as_text(df, "knowledge_level")).alias("knowledge_level"), cleaned(agent).alias("agent_type"), F.when(~distrust, publications).alias("publications"), F.when(~distrust, info).alias("publications_info"),
         F.when(own.isNotNull(), F.create_map(F.lit(spec.aggregator), own)).alias("attributes"),
     )
