@@ -145,6 +145,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = staging.put(postings(classes, coords, match), "postings")
     wanted = classes.select("class", "id", "digest").join(lists.select("class").distinct(), "class", "left_semi")
     sets = staging.put(_full_sets(docs, wanted, id_col, text_col, shingle), "sets")
+    staging.release(docs.sparkSession)
     comp = None
     for pairs in (_pivots, _others, _rest):
         members = lists if comp is None else staging.put(_sketched(_open(lists, comp), sets), "members") if pairs is _others else _open(members, comp)
@@ -153,8 +154,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if comp is not None:
             links = links.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
         comp = staging.put(connected_components(links, "a", "b"), "components")
+        staging.release(docs.sparkSession)
     out = staging.put(_verdicts(sigs.drop("sig"), classes.drop("sig"), comp), "verdicts")
     staging.drop_since(start, keep=(out,))
+    staging.release(docs.sparkSession)
     return out
 
 
