@@ -127,7 +127,7 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFr
     homes = F.array(F.struct("bucket", F.lit(False).alias("guard")))
     both = F.concat(homes, F.array(F.struct(F.col("above").alias("bucket"), F.lit(True).alias("guard"))))
     out = led.select(F.explode(F.when(F.col("id").eqNullSafe(F.col("head")), both).otherwise(homes)).alias("h"), "id", "text").select("h.bucket", "h.guard", "id", "text")
-    return out.repartitionByRange(parts, "bucket").sortWithinPartitions("bucket", F.desc("guard"), F.asc_nulls_first("id"), "text")
+    return out.repartition(parts, "bucket").sortWithinPartitions("bucket", F.desc("guard"), F.asc_nulls_first("id"), "text")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,7 +171,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     continue
                 ready.append((i, text, before))
                 size += len(text) + len(before)
-                if size > 1 << 20:
+                if size > 1 << 19:
                     yield done(ready)
                     ready, size = [], 0
         if ready:
