@@ -82,6 +82,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "doc_id", "start": "start_byte", "size": "n_bytes", "words": "n_words", "kept_id": "kept_doc_id"})
 
 
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of op1."""
+    return op1_document_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def placed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of op2: all rows and bytes are placed on 16 shards, each with its slots from 0 on without a gap."""
+    shards = op2_virtual_slot_sharding(spark, sf_dir).groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.count_distinct("slot").alias("slots"), F.min("slot").alias("low"), F.max("slot").alias("high"))
+    gapless = F.bool_and((F.col("low") == 0) & (F.col("high") == F.col("n") - 1) & (F.col("slots") == F.col("n")) & F.col("shard").between(0, 15))
+    return shards.agg(F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"), gapless.alias("gapless"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_document_fingerprints": op1_document_fingerprints,
@@ -94,9 +106,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_substring_dedup": op10_substring_dedup,
+        "edited_texts": edited_texts,
+        "placed_rows": placed_rows,
     }
 
 
+LINKED = """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+item AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS n, count(*) AS met FROM item a JOIN item b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair WHERE 100 * met >= 85 * (n - met) UNION SELECT b, a FROM pair WHERE 100 * met >= 85 * (n - met)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id, least(doc_id, coalesce(low, doc_id)) = doc_id AS kept FROM s LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY 1) ON a = doc_id"""
+EDITED = """SELECT doc_id, length(text) AS n_chars, sha256(substr(text, 1, length(text) - length(text) // 2) || substr(coalesce(after, first), 1, length(text) // 2)) AS edited_sha256
+FROM (SELECT doc_id, text, lead(text) OVER (ORDER BY doc_id DESC) AS after, first_value(text) OVER (ORDER BY doc_id DESC) AS first FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))"""
+PLACED = "SELECT count(*) AS rows, CAST(sum(octet_length(encode(coalesce(text, ''))) + 1) AS BIGINT) AS bytes, TRUE AS gapless FROM documents"
+
+
 def oracle_sql() -> dict[str, str]:
     """Queries that SQL can express; the others are held against brute-force versions in tests/llm."""
-    return {}
+    return {"op6_minhash_near_dedup": LINKED, "edited_texts": EDITED, "placed_rows": PLACED}
