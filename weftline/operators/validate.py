@@ -1,7 +1,7 @@
 """Validation as an error table: (entity, error_type, subtype, message, item).
 
 Row checks are one pass over each table: every check is a nullable struct and the non-null ones are exploded.
-Checks that need the other table are anti-joins.
+Checks that need another table are left joins to its distinct keys.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from ..functions import scalars as X
 from ..functions import schema as S
-from .merge import orphans
 
+#: What an edge's key is made of, but for its predicate.
+EDGE_ITEM = ["subject", "object", "qualifiers", "primary_knowledge_source"]
 ERROR = "struct<error_type:string,subtype:string,message:string>"
 
 
@@ -60,12 +61,14 @@ def node_errors(nodes: DataFrame, source: str | None = None, categories: DataFra
     if source:
         checks.append(problem(~F.array_contains("provided_by", F.lit(source)), "missing_source_provenance", source))
     out = _table(nodes, "node", F.col("id"), checks)
+    named, known = X.category_format("category", scheme), F.lit(True)
     flat = nodes.select("id", F.explode("categories").alias("category"))
-    out = out.unionByName(flat.where(~X.category_format("category", scheme)).select(F.lit("node").alias("entity"), F.lit("invalid_category_format").alias("error_type"), F.col("category").alias("subtype"), F.lit("").alias("message"), F.col("id").alias("item")))
     if categories is not None:
-        bad = flat.where(X.category_format("category", scheme)).join(categories, "category", "left_anti")
-        out = out.unionByName(bad.select(F.lit("node").alias("entity"), F.lit("invalid_category").alias("error_type"), F.col("category").alias("subtype"), F.lit("").alias("message"), F.col("id").alias("item")))
-    return out
+        flat = flat.join(categories.select("category", F.lit(True).alias("_known")).distinct(), "category", "left")
+        known = F.col("_known").isNotNull()
+    kind = F.when(~named, "invalid_category_format").when(named & ~known, "invalid_category")
+    bad = flat.select(F.lit("node").alias("entity"), kind.alias("error_type"), F.col("category").alias("subtype"), F.lit("").alias("message"), F.col("id").alias("item"))
+    return out.unionByName(bad.where("error_type IS NOT NULL"))
 
 
 def overlap_errors(nodes: DataFrame, order: Column) -> DataFrame:
@@ -73,25 +76,32 @@ def overlap_errors(nodes: DataFrame, order: Column) -> DataFrame:
     held = nodes.select("id", order.alias("_o"), F.explode(F.array_distinct("equivalent_ids")).alias("equiv_id"))
     first = held.groupBy("equiv_id").agg(F.min(F.struct("_o", "id")).alias("first"), F.count_distinct("id").alias("n")).where("n > 1")
     later = held.join(first, "equiv_id").where(F.col("id") != F.col("first.id"))
-    shared = later.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set(X.prefix("equiv_id"))), "|").alias("subtype"))
+    shared = later.groupBy("id").agg(F.array_join(F.sort_array(F.collect_set(X.prefix("equiv_id"))), "|").alias("subtype"))
     return shared.select(F.lit("node").alias("entity"), F.lit("overlapping_equiv_ids").alias("error_type"), "subtype", F.lit("").alias("message"), F.col("id").alias("item"))
 
 
 def edge_errors(edges: DataFrame, nodes: DataFrame, predicates: DataFrame | None = None, knowledge_levels: list[str] = (), agent_types: list[str] = (), scheme: str = "biolink", model: T.StructType = S.EDGE) -> DataFrame:
-    key = X.edge_key()
+    """predicates: (predicate), the known ones.
+
+    Row checks come first, so that the joins to known ids and predicates carry only an edge's key, ends and errors.
+    """
     checks = required(edges, S.REQUIRED_EDGE) + typed(edges, model)
     checks.append(problem(~X.predicate_format("predicate", scheme), "invalid_predicate_format", F.col("predicate")))
     if knowledge_levels:
         checks.append(problem(~F.col("knowledge_level").isin(*knowledge_levels), "invalid_knowledge_level", F.col("knowledge_level")))
     if agent_types:
         checks.append(problem(~F.col("agent_type").isin(*agent_types), "invalid_agent_type", F.concat_ws(" from ", "agent_type", "primary_knowledge_source")))
-    out = _table(edges, "edge", key, checks)
-    lost = orphans(edges, nodes).select(F.lit("edge").alias("entity"), F.lit("orphan_edge").alias("error_type"), "subtype", F.col("id").alias("message"), key.alias("item"))
-    out = out.unionByName(lost)
+    rows = edges.select(*EDGE_ITEM, "predicate", F.array(*[c.cast(ERROR) for c in checks]).alias("_found"))
+    ids, late = nodes.select("id").distinct(), []
+    for side in ("subject", "object"):
+        rows = rows.join(ids.select(F.col("id").alias(side), F.lit(True).alias(f"_{side}")), side, "left")
+        late.append(problem(F.col(f"_{side}").isNull(), "orphan_edge", side, F.col(side)))
     if predicates is not None:
-        bad = edges.where(X.predicate_format("predicate", scheme)).join(predicates, "predicate", "left_anti")
-        out = out.unionByName(bad.select(F.lit("edge").alias("entity"), F.lit("invalid_predicate").alias("error_type"), F.col("predicate").alias("subtype"), F.lit("").alias("message"), key.alias("item")))
-    return out
+        rows = rows.join(predicates.select("predicate", F.lit(True).alias("_predicate")).distinct(), "predicate", "left")
+        late.append(problem(F.col("_predicate").isNull() & X.predicate_format("predicate", scheme), "invalid_predicate", F.col("predicate")))
+    found = F.filter(F.concat("_found", F.array(*[c.cast(ERROR) for c in late])), lambda x: x.isNotNull())
+    faulty = rows.select(*EDGE_ITEM, "predicate", F.explode(found).alias("e"))
+    return faulty.select(F.lit("edge").alias("entity"), "e.error_type", "e.subtype", "e.message", X.edge_key().alias("item"))
 
 
 def integration_errors(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -109,7 +119,7 @@ def summary(errors: DataFrame, examples: int = 1) -> DataFrame:
 
     place = F.row_number().over(Window.partitionBy("error_type", "subtype").orderBy("item"))
     some = errors.select("error_type", "subtype", "item").distinct().withColumn("place", place).where(F.col("place") <= examples)
-    lists = some.groupBy("error_type", "subtype").agg(F.array_sort(F.collect_list("item")).alias("examples"))
+    lists = some.groupBy("error_type", "subtype").agg(F.sort_array(F.collect_list("item")).alias("examples"))
     return ranked.join(lists, F.struct(ranked.error_type, ranked.subtype).eqNullSafe(F.struct(lists.error_type, lists.subtype)), "left").select(ranked["*"], "examples")
 
 
