@@ -56,7 +56,7 @@ def symmetric(df: DataFrame, a: str, b: str, value: str, least: float = 0) -> Da
 
 def held_by(long: DataFrame, key: list[str], graph: str = "graph") -> DataFrame:
     """For each key, the sorted graphs that have it: shared, unique and pairwise sets are filters of this."""
-    return long.groupBy(*key).agg(F.array_sort(F.collect_set(graph)).alias("graphs"))
+    return long.groupBy(*key).agg(F.sort_array(F.collect_set(graph)).alias("graphs"))
 
 
 def margins(df: DataFrame, row: str, column: str, value: str, least: int, least_column: int | None = None) -> DataFrame:
@@ -133,20 +133,25 @@ def property_profile(df: DataFrame, kind: str, properties: str, order: str) -> D
     return flat.groupBy(kind, "property").agg(F.count("*").alias("rows"), F.min_by("value", order).alias("example"))
 
 
-def levels(edges: DataFrame, most: int = 64) -> DataFrame:
-    """(node, level): the longest path from a root of a small acyclic graph, by relaxing its edges."""
+def levels(edges: DataFrame) -> DataFrame:
+    """(node, level): the longest path from a root of an acyclic graph, by relaxing its edges as often as it has steps.
+
+    A cycle is an error: no path has as many steps as there are nodes.
+    """
     from .. import staging
 
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     now = staging.put(nodes.withColumn("level", F.lit(0)), "levels")
-    for _ in range(most):
+    for _ in range(now.count() + 1):
         up = edges.join(now.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg((F.max("level") + 1).alias("up"))
-        new = staging.put(now.join(up, "node", "left").select("node", F.greatest("level", F.coalesce("up", F.lit(0))).alias("level")), "levels")
-        same = new.join(now.withColumnRenamed("level", "old"), "node").where("level != old").isEmpty()
+        new = staging.put(now.join(up, "node", "left").select("node", F.greatest("level", F.coalesce("up", F.lit(0))).alias("level"), (F.coalesce("up", F.lit(0)) > F.col("level")).alias("_moved")), "levels")
+        staging.drop(now)
         now = new
-        if same:
-            return now
-    raise ValueError("a cycle, or a path of more steps than expected")
+        if now.where("_moved").isEmpty():
+            return now.drop("_moved")
+        now = now.drop("_moved")
+        now._staged = new._staged
+    raise ValueError("the graph has a cycle")
 
 
 def remapped(df: DataFrame, c: str, least: float, name: str) -> DataFrame:

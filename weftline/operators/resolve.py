@@ -1,14 +1,15 @@
 """Entity resolution: sources' nodes become canonical nodes by their equivalence sets.
 
 Components of nodes that share an id come from distributed star rounds. Within a component the order of sources
-decides which node dominates, and that fold is sequential by its rules, so it runs in Python on one component at a
-time; a node alone in its component skips it. Components of merging sources are small by nature (the ids of one
-thing); ``largest_component`` tells before the fold, and ``fold_limit`` raises instead of loading a giant one.
+decides which node dominates, and that fold is sequential by its rules, so it runs in Python; a node alone in its
+component skips it. Rows come to the fold sorted, batch by batch, so a component of any size takes only the memory of
+its canonical nodes, which merging has made fewer than its rows.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
@@ -58,10 +59,6 @@ def majority(nodes: DataFrame, index: DataFrame, own_vote: int = OWN_VOTE) -> Da
     return votes.withColumn("place", best).where("place = 1").select("id", "canonical_id", "votes")
 
 
-def largest_component(components: DataFrame) -> int:
-    return components.groupBy("component").count().agg(F.max("count")).first()[0] or 0
-
-
 class Fold:
     """The ordered fold of one component: canonical nodes, and the canonical id of every equivalent id."""
 
@@ -139,16 +136,30 @@ class Fold:
 CONTROL = ("phase", "source_rank", "ordinal", "component", "count")
 
 
+def fold_row(fold: Fold, r: dict, columns: list[str]) -> None:
+    """The next row of a component: node columns, and phase (0 primary, 1 merging, 2 joining)."""
+    is_list = lambda v: hasattr(v, "__len__") and not isinstance(v, str)
+    node = {c: list(r[c]) if is_list(r[c]) else None if r[c] is None or r[c] != r[c] else r[c] for c in columns}
+    (fold.seed, fold.merging, fold.joining)[int(r["phase"])](node)
+
+
 def fold_component(rows: pd.DataFrame, ancestors: dict[str, frozenset[str]] | None = None) -> Fold:
-    """rows: node columns with phase (0 primary, 1 merging, 2 joining), source_rank and ordinal."""
+    """One component in memory: rows as fold_row takes them, with source_rank and ordinal."""
     fold, columns = Fold(ancestors), [c for c in rows.columns if c not in CONTROL]
-    is_list = lambda v: hasattr(v, "__len__") and not isinstance(v, str)
     for r in rows.sort_values(["phase", "source_rank", "ordinal"], kind="stable").to_dict("records"):
-        node = {c: list(r[c]) if is_list(r[c]) else None if r[c] is None or r[c] != r[c] else r[c] for c in columns}
-        (fold.seed, fold.merging, fold.joining)[int(r["phase"])](node)
+        fold_row(fold, r, columns)
     return fold
 
 
+def fold_output(fold: Fold) -> list[dict]:
+    """A component's canonical nodes with the ids that lead to each, and the fold's log on the first."""
+    held: dict[str, list[str]] = {}
+    for e, c in fold.index.items():
+        held.setdefault(c, []).append(e)
+    log = [{"kind": k, "id": i, "others": o} for k, i, o in fold.log]
+    return [{**n, "indexed": sorted(held.get(i, [])), "log": None if k else log} for k, (i, n) in enumerate(fold.canonical.items())]
+
+
 class Resolved(NamedTuple):
     nodes: DataFrame
     #: (equiv_id, canonical_id)
@@ -157,12 +168,12 @@ class Resolved(NamedTuple):
     log: DataFrame
 
 
-def canonical_nodes(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | None = None, fold_limit: int = 100_000) -> tuple[DataFrame, DataFrame]:
+def canonical_nodes(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | None = None) -> tuple[DataFrame, DataFrame]:
     """Canonical nodes, and the index (equiv_id, canonical_id)."""
-    return resolved(nodes, ancestors, fold_limit)[:2]
+    return resolved(nodes, ancestors)[:2]
 
 
-def resolved(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | None = None, fold_limit: int = 100_000) -> Resolved:
+def resolved(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | None = None) -> Resolved:
     """Canonical nodes, the index of equivalent ids, and the log of the fold.
 
     nodes: scalar and list columns of nodes, phase, source_rank and ordinal; attributes, if there, are merged by
@@ -170,23 +181,29 @@ def resolved(nodes: DataFrame, ancestors: dict[str, frozenset[str]] | None = Non
     """
     columns = [c for c in nodes.columns if c not in (*CONTROL, "attributes")]
     comp = entity_components(nodes)
-    if (n := largest_component(comp)) > fold_limit:
-        raise ValueError(f"a component of {n} nodes; the limit is {fold_limit}")
     sizes = nodes.join(comp.dropDuplicates(["id"]), "id").groupBy("component").count()
     placed = nodes.drop("attributes").join(comp.dropDuplicates(["id"]), "id").join(sizes, "component")
     entry = "array<struct<kind:string,id:string,others:string>>"
     alone_log = F.when(F.col("phase") > 0, F.array(F.struct(F.lit("one_to_zero").alias("kind"), F.col("id").alias("id"), F.lit("").alias("others")))).cast(entry)
     alone = placed.where("count = 1").select(*columns, F.lit(None).cast("array<string>").alias("indexed"), alone_log.alias("log"))
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        fold = fold_component(rows, ancestors)
-        held: dict[str, list[str]] = {}
-        for e, c in fold.index.items():
-            held.setdefault(c, []).append(e)
-        log = [{"kind": k, "id": i, "others": o} for k, i, o in fold.log]
-        return pd.DataFrame([{**n, "indexed": sorted(held.get(i, [])), "log": None if k else log} for k, (i, n) in enumerate(fold.canonical.items())], columns=[*columns, "indexed", "log"])
-
-    folded = placed.where("count > 1").groupBy("component").applyInPandas(run, alone.schema)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fold, component = Fold(ancestors), None
+        table = lambda done: pd.DataFrame(done, columns=[*columns, "indexed", "log"])
+        for rows in batches:
+            done = []
+            for r in rows.to_dict("records"):
+                if r["component"] != component:
+                    done += fold_output(fold)
+                    fold, component = Fold(ancestors), r["component"]
+                fold_row(fold, r, columns)
+            if done:
+                yield table(done)
+        if component is not None:
+            yield table(fold_output(fold))
+
+    sorted_rows = placed.where("count > 1").repartition("component").sortWithinPartitions("component", "phase", "source_rank", "ordinal")
+    folded = sorted_rows.mapInPandas(run, alone.schema)
     out = alone.unionByName(folded)
     index = out.select(F.explode(F.coalesce("indexed", "equivalent_ids")).alias("equiv_id"), F.col("id").alias("canonical_id"))
     log = out.select(F.explode("log").alias("l")).select("l.*")
@@ -210,4 +227,4 @@ def leaf_categories(rows: DataFrame, closure: DataFrame, key: str = "id", catego
     """
     flat = rows.select(key, F.explode(categories).alias("category")).distinct()
     above = flat.join(closure, "category").where("category != ancestor").select(key, F.col("ancestor").alias("category")).distinct()
-    return flat.join(above, [key, "category"], "left_anti").groupBy(key).agg(F.array_sort(F.collect_list("category")).alias(categories))
+    return flat.join(above, [key, "category"], "left_anti").groupBy(key).agg(F.sort_array(F.collect_list("category")).alias(categories))
