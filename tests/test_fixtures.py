@@ -206,3 +206,51 @@ def test_other_scalars(spark):
 def test_levels(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("c", "d")], "src string, dst string")
     assert {r.node: r.level for r in A.levels(edges).collect()} == {"a": 0, "b": 1, "c": 2, "d": 3}
+
+
+def test_levels_of_a_long_path_and_a_cycle(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(70)], "src int, dst int")
+    assert {r.node: r.level for r in A.levels(path).collect()} == {i: i for i in range(71)}
+    with pytest.raises(ValueError, match="cycle"):
+        A.levels(spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string"))
+
+
+def test_fold_of_a_component_over_many_batches(spark):
+    """One component whose rows come in batches of ten, beside small ones."""
+    rows = [node(0, "p", ["p", "x0"], "p")] + [node(1, f"m{k:03}", [f"m{k:03}", f"x{k}", f"x{k + 1}"], f"m{k}", rank=1) for k in range(45)] + [node(0, f"q{k}", [f"q{k}", f"y{k}"], "q") for k in range(5)] + [node(2, f"r{k}", [f"r{k}", f"y{k}"], "r", rank=2) for k in range(5)]
+    whole = folded(*rows)
+    names = ("id", "name", "categories", "provided_by", "synonyms", "equivalent_ids", "description", "phase", "source_rank", "ordinal")
+    schema = "id string, name string, categories array<string>, provided_by array<string>, synonyms array<string>, equivalent_ids array<string>, description string, phase int, source_rank int, ordinal string"
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        nodes, index = R.canonical_nodes(spark.createDataFrame([tuple(r[c] for c in names) for r in rows], schema))
+        assert {r.id: r.name for r in nodes.collect()} == {i: n["name"] for i, n in whole.canonical.items()}
+        assert {r.equiv_id: r.canonical_id for r in index.collect()} == whole.index
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_edge_checks_in_one_table(spark):
+    """Null and unknown ends, a known and an unknown predicate, one of bad form; a node id that repeats counts once."""
+    nodes = spark.createDataFrame([("a",), ("a",), ("b",)], "id string")
+    rows = [("a", "rel:has", "b", None, "s", "k", "t"), ("a", "rel:other", "zz", {"q": "v"}, "s", "k", "t"), (None, "Bad", "b", None, "s", "k", "t")]
+    edges = spark.createDataFrame(rows, "subject string, predicate string, object string, qualifiers map<string,string>, primary_knowledge_source string, knowledge_level string, agent_type string")
+    predicates = spark.createDataFrame([("rel:has",), ("rel:has",)], "predicate string")
+    got = sorted((r.error_type, r.subtype or "", r.message, r.item) for r in V.edge_errors(edges, nodes, predicates, scheme="rel").collect())
+    assert got == [
+        ("invalid_predicate", "rel:other", "", "a---rel:other---zz---q:v---s"), ("invalid_predicate_format", "Bad", "", "Bad---b---|---s"), ("missing_required_field", "subject", "", "Bad---b---|---s"),
+        ("orphan_edge", "object", "zz", "a---rel:other---zz---q:v---s"), ("orphan_edge", "subject", None, "Bad---b---|---s"),
+    ]
+
+
+def test_attributes_merge_by_source_and_property(spark):
+    """Values unite by source and property; a null value gives its property without values, no attributes give null."""
+    rows = [("a", "b", {"s": {"p": "1", "q": "x"}}, ["l2"], 1), ("a", "b", {"s": {"p": "2"}, "t": {"p": "1"}}, ["l1", "l2"], 2), ("a", "b", None, None, 3), ("c", "d", None, None, 4), ("e", "f", {"s": {"p": None}}, None, 5)]
+    edges = spark.createDataFrame(rows, "subject string, object string, attributes map<string,map<string,string>>, publications array<string>, ordinal int")
+    none = F.lit(None)
+    edges = edges.withColumns({"predicate": F.lit("rel:has"), "qualifiers": none.cast("map<string,string>"), "primary_knowledge_source": F.lit("s"), "aggregator_knowledge_source": none.cast("array<string>"), "supporting_data_sources": none.cast("array<string>"), "knowledge_level": none.cast("string"), "agent_type": none.cast("string"), "publications_info": none.cast("string"), "source_rank": F.lit(0)})
+    got = {r.subject: (r.attributes, r.publications, r.merged_rows) for r in M.merge_edges(edges).collect()}
+    assert got == {"a": ({"s": {"p": "[1,2]", "q": "[x]"}, "t": {"p": "[1]"}}, ["l1", "l2"], 3), "c": (None, None, 1), "e": ({"s": {"p": "[]"}}, None, 1)}
+    own = {r.subject: r.attributes for r in M.merge_attributes(edges, ["subject"]).collect()}
+    assert own == {k: v[0] for k, v in got.items() if v[0]}

@@ -64,9 +64,12 @@ def nonempty(c: str | Column) -> Column:
 
 
 def union_lists(*cs: str | Column) -> Column:
-    """The sorted distinct members of several lists; null lists are empty."""
+    """The sorted distinct members of several lists, a null one first; null lists are empty.
+
+    sort_array compiles; array_sort would call its comparator expression for each pair.
+    """
     empty = F.array().cast("array<string>")
-    return F.array_sort(F.array_distinct(F.flatten(F.array(*[F.coalesce(col(c), empty) for c in cs]))))
+    return F.sort_array(F.array_distinct(F.flatten(F.array(*[F.coalesce(col(c), empty) for c in cs]))))
 
 
 def absent_if_empty(c: str | Column) -> Column:
@@ -103,9 +106,8 @@ def without_scheme(c: str | Column, scheme: str) -> Column:
 
 def qualifier_text(q: str | Column) -> Column:
     """Qualifiers as property:value, sorted and joined; a bar where there are none."""
-    pairs = F.array_sort(F.transform(F.map_entries(col(q)), lambda e: F.concat(e["key"], F.lit(":"), e["value"])))
-    text = F.array_join(pairs, "__")
-    return F.when(F.coalesce(text, F.lit("")) == "", "|").otherwise(text)
+    pairs = F.sort_array(F.transform(F.map_entries(col(q)), lambda e: F.concat(e["key"], F.lit(":"), e["value"])))
+    return F.when(F.coalesce(F.size(col(q)), F.lit(0)) <= 0, "|").otherwise(F.coalesce(F.nullif(F.array_join(pairs, "__"), F.lit("")), F.lit("|")))
 
 
 def edge_key(subject="subject", predicate="predicate", object_="object", qualifiers="qualifiers", primary="primary_knowledge_source") -> Column:

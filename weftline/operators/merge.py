@@ -1,7 +1,7 @@
 """Edge merge: one edge for all assertions with the same key.
 
-Rows are grouped by the key columns themselves. Scalars, lists and attributes of a group come from one aggregation
-each; hot keys combine before the shuffle. "First" is by (source_rank, ordinal).
+Rows are grouped by the key columns themselves, in one aggregation for scalars, lists and attributes; hot keys combine
+before the shuffle. "First" is by (source_rank, ordinal).
 """
 
 from __future__ import annotations
@@ -19,48 +19,61 @@ def first_provided(c: str, order: Column) -> Column:
 
 
 def list_union(c: str) -> Column:
-    """The sorted distinct members of a group's lists, null where there are none.
+    """The sorted distinct members of a group's lists, a null one first; null where there are none.
 
     Lists are gathered as sets, so repeated lists (the common case of copies) are held once.
     """
-    return X.absent_if_empty(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.col(c))))))
+    return X.absent_if_empty(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.col(c))))))
+
+
+def attribute_values(c: str) -> Column:
+    """The values of a map of maps, as an array of (source, property, value)."""
+    of = lambda s, p: F.struct(s["key"].alias("source"), p["key"].alias("property"), p["value"].alias("value"))
+    return F.flatten(F.transform(F.map_entries(c), lambda s: F.transform(F.map_entries(s["value"]), lambda p: of(s, p))))
+
+
+def attribute_map(c: str) -> Column:
+    """Of sorted distinct (source, property, value), per source and property the values as a JSON list; null of none."""
+
+    def of_property(rows: Column, p: Column) -> Column:
+        held = F.filter(rows, lambda v: (v["property"] == p) & v["value"].isNotNull())
+        return F.concat(F.lit("["), F.array_join(F.transform(held, lambda v: v["value"]), ","), F.lit("]"))
+
+    def of_source(s: Column) -> Column:
+        rows = F.filter(c, lambda v: v["source"] == s)
+        properties = F.array_distinct(F.transform(rows, lambda v: v["property"]))
+        return F.map_from_arrays(properties, F.transform(properties, lambda p: of_property(rows, p)))
+
+    sources = F.array_distinct(F.transform(c, lambda v: v["source"]))
+    return F.when(F.size(c) > 0, F.map_from_arrays(sources, F.transform(sources, of_source)))
 
 
 def merge_edges(edges: DataFrame, with_attributes: bool = True) -> DataFrame:
     """Edges with source_rank and ordinal, merged by key, with edge_key and the number of merged rows.
 
-    Attributes take an aggregation and a join of their own; without them there is one shuffle.
+    One shuffle. Lists and attributes of a group are gathered as sets of rows' arrays, so what copies repeat is held once.
     """
     order = F.struct("source_rank", "ordinal")
     # A map can't be grouped by; its sorted entries can.
-    keyed = edges.withColumn("_q", F.array_sort(F.map_entries(F.coalesce("qualifiers", F.create_map().cast(S.MAP)))))
+    keyed = edges.withColumn("_q", F.sort_array(F.map_entries(F.coalesce("qualifiers", F.create_map().cast(S.MAP)))))
     key = ["subject", "predicate", "object", "_q", "primary_knowledge_source"]
-    main = keyed.groupBy(*key).agg(
+    merged = [
         list_union("aggregator_knowledge_source").alias("aggregator_knowledge_source"), list_union("supporting_data_sources").alias("supporting_data_sources"), first_provided("knowledge_level", order).alias("knowledge_level"),
         first_provided("agent_type", order).alias("agent_type"), list_union("publications").alias("publications"), F.min_by("publications_info", F.when(F.col("publications_info").isNotNull(), order)).alias("publications_info"), F.count("*").alias("merged_rows"),
-    )
-    if not with_attributes:
-        return main.withColumn("qualifiers", F.when(F.size("_q") > 0, F.map_from_entries("_q"))).drop("_q").withColumn("edge_key", X.edge_key())
-    attributes = merge_attributes(keyed, key)
-    joined = main.alias("m").join(attributes.alias("a"), F.struct(*[F.col(f"m.{k}") for k in key]).eqNullSafe(F.struct(*[F.col(f"a.{k}") for k in key])), "left")
-    rest = [c for c in main.columns if c not in key]
-    qualifiers = F.when(F.size("m._q") > 0, F.map_from_entries("m._q"))
-    out = joined.select("m.subject", "m.object", "m.predicate", qualifiers.alias("qualifiers"), "m.primary_knowledge_source", *[f"m.{c}" for c in rest], "a.attributes")
-    return out.withColumn("edge_key", X.edge_key())
+    ]
+    if with_attributes:
+        keyed = keyed.withColumn("_values", attribute_values("attributes"))
+        merged.append(F.sort_array(F.array_distinct(F.flatten(F.collect_set("_values")))).alias("_values"))
+    out = keyed.groupBy(*key).agg(*merged).withColumn("qualifiers", F.when(F.size("_q") > 0, F.map_from_entries("_q")))
+    if with_attributes:
+        out = out.withColumn("attributes", attribute_map("_values")).drop("_values")
+    return out.drop("_q").withColumn("edge_key", X.edge_key())
 
 
 def merge_attributes(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Attributes by key: per source and property, the sorted distinct values as a JSON list."""
-    flat = rows.select(*key, F.explode("attributes").alias("source", "properties")).select(*key, "source", F.explode("properties").alias("property", "value"))
-    values = F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_set("value")), ","), F.lit("]"))
-    per_property = flat.groupBy(*key, "source", "property").agg(values.alias("value"))
-    per_source = per_property.groupBy(*key, "source").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("property", "value")))).alias("properties"))
-    return per_source.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("source", "properties"))).alias("attributes"))
-
-
-def merged_maps(a: Column, b: Column) -> Column:
-    """Two maps of lists, their lists united key by key."""
-    return F.map_zip_with(a, b, lambda _, x, y: X.union_lists(x, y))
+    """Attributes by key, as attribute_map gives them; values combine one by one, in one shuffle. Keys without any have no row."""
+    flat = rows.select(*key, F.explode(attribute_values("attributes")).alias("_value"))
+    return flat.groupBy(*key).agg(F.sort_array(F.collect_set("_value")).alias("_values")).select(*key, attribute_map("_values").alias("attributes"))
 
 
 def canonical_endpoints(edges: DataFrame, index: DataFrame) -> DataFrame:

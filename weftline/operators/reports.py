@@ -61,4 +61,4 @@ def triples_of(documents: DataFrame, c: str = "value") -> DataFrame:
 def known_candidates(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
     """(curie, categories): the candidates that some node has as its id or an equivalent one, with all their categories."""
     held = nodes.select(F.explode(F.array_union("equivalent_ids", F.array("id"))).alias("curie"), "categories")
-    return held.join(candidates.select("curie").distinct(), "curie", "left_semi").select("curie", F.explode("categories").alias("category")).groupBy("curie").agg(F.array_sort(F.collect_set("category")).alias("categories"))
+    return held.join(candidates.select("curie").distinct(), "curie", "left_semi").select("curie", F.explode("categories").alias("category")).groupBy("curie").agg(F.sort_array(F.collect_set("category")).alias("categories"))

@@ -37,7 +37,7 @@ def query(sql: str | None = None):
 
 
 def joined(c) -> F.Column:
-    return F.array_join(F.array_sort(F.array_distinct(c)), ",")
+    return F.array_join(F.sort_array(F.array_distinct(c)), ",")
 
 
 # Edges: keys and merging
@@ -574,7 +574,7 @@ def html_text_length(spark, d):
 
 @query("SELECT conv_id, role, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY length(text) DESC, turn) AS place FROM conversations) WHERE place = 1")
 def longest_text(spark, d):
-    said = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"])
+    said = F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"])
     return toy.table(spark, d, "conversations").groupBy("conv_id", "role").agg(X.longest(said).alias("text"))
 
 
