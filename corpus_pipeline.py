@@ -39,7 +39,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     added = ["content_score", "metadata_score", "quality_score", "quality_kept"]
-    return _own_columns(docs, added, lambda d: quality(d, labels).where("quality_kept"))
+    out = _own_columns(docs, added, lambda d: quality(d, labels).where("quality_kept"))
+    staging.release(spark)  # what learning has left, before all documents are scored
+    return out
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +67,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Null and empty sources are one source, null texts one token; equal rows are repeated alike. An empty table gives none.
     """
-    return _own_columns(docs, ["mix_epoch", "mix_weight", "mix_block", "mix_position"], lambda d: mix(d, repeats=1.25))
+    out = _own_columns(docs, ["mix_epoch", "mix_weight", "mix_block", "mix_position"], lambda d: mix(d, repeats=1.25))
+    staging.release(spark)
+    return out
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import tempfile
 import time
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
@@ -72,12 +73,28 @@ def drop_since(point: int, keep: tuple[DataFrame, ...] = ()) -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished queries; else they stay until the driver happens to collect its garbage.
 
-    The cleaner works in its own thread, and what it frees first holds the rest: one collection is not enough.
+    The cleaner works in its own thread, and what it frees first holds the rest: one collection is not enough. The
+    driver's free native memory then goes back to the system: compiling the plans of many small queries on many threads
+    leaves some hundreds of MB of it with the allocator, beside the heap.
     """
     for _ in range(2):
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.5)
+    _trim(spark)
+
+
+def _trim(spark: SparkSession) -> None:
+    """malloc_trim in the driver's JVM; nothing where the JVM has no such command (not Linux, before 17.0.9)."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    try:
+        # The server's class is not exported: its method is called through the interface.
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        args = gateway.new_array(jvm.java.lang.Object, 4)  # without parameters and their types
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:
+        return
 
 
 def _delete(spark: SparkSession, path: str) -> None:
